@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans import analytics as A
 from .plans.warehouse import star_from_testdata
 
+# Test parameter values (FIXTURES.md §4): same semantics, thresholds scaled to the data.
+TEST_SEGMENTS = (("VIP", 5, Decimal("25000000")), ("Loyal", 3, Decimal("12000000")), ("Returning", 2, None))
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
@@ -22,4 +27,22 @@ def _on_star(fn, **kw) -> QueryFn:
 def queries() -> dict[str, QueryFn]:
     return {
         "q01_ytd_revenue": _on_star(A.q01_ytd_revenue),
+        "q02_seller_rank_in_state": _on_star(A.q02_seller_rank_in_state),
+        "q03_mom_growth": _on_star(A.q03_mom_growth),
+        "q03b_mom_growth_spine": _on_star(A.q03b_mom_growth_spine, start_year=1995, end_year=2001,
+                                          seller_state="NATION_12"),
+        "q04_top3_products_per_category": _on_star(A.q04_top3_products_per_category),
+        "q05_order_frequency_buckets": _on_star(A.q05_order_frequency_buckets),
+        "q06_late_rate_by_state": _on_star(A.q06_late_rate_by_state, min_lines=300),
+        "q07_above_average_customers": _on_star(A.q07_above_average_customers),
+        "q08_category_contribution": _on_star(A.q08_category_contribution),
+        "q09_monthly_revenue_report": _on_star(A.q09_monthly_revenue_report, year=1998),
+        "q10_seller_performance": _on_star(A.q10_seller_performance, top_n=10),
+        "q11_customer_segmentation": _on_star(A.q11_customer_segmentation, segments=TEST_SEGMENTS,
+                                              as_of=_dt.date(2001, 12, 31)),
+        "q12_daily_revenue_range": _on_star(A.q12_daily_revenue_range, year=1998),
+        "q12a_year_scan": _on_star(A.q12a_year_scan, year=1998),
+        "filter_year_function": _on_star(A.q12a_year_function, year=1998),
+        "filter_date_key_range": _on_star(A.fact_key_range, year=1998),
+        "v_daily_sales": _on_star(A.v_daily_sales),
     }

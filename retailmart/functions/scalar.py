@@ -128,31 +128,41 @@ def safe_ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
     return F.try_divide(_c(num), F.nullif(_c(den), F.lit(0)))
 
 
-def growth_pct(cur: ColumnOrName, prev: ColumnOrName, scale: int = 2) -> Column:
-    """round((cur - prev) / prev * 100, 2), NULL on a zero base.
+def growth_pct(cur: ColumnOrName, prev: ColumnOrName, scale: int = 2, money_scale: int = 2) -> Column:
+    """round((cur - prev) / prev * 100, 2) on decimal money, NULL on a zero base (double)."""
+    c, p = _c(cur), _c(prev)
+    return ratio_half_up((c - p) * 100, p, scale, num_scale=money_scale, den_scale=money_scale)
 
-    Computed in decimal (exact) and returned as double.
-    """
-    c, p = _c(cur).cast("decimal(38,2)"), _c(prev).cast("decimal(38,2)")
-    ratio = F.try_divide((c - p) * F.lit(Decimal(100)), F.nullif(p, F.lit(Decimal(0))))
-    return F.round(ratio, scale).cast("double")
+
+def _half_up_quotient(num: Column, den: Column, scale: int, num_scale: int, den_scale: int) -> Column:
+    """Unscaled HALF_UP quotient q = round(num / den * 10^scale) using integer division only."""
+    n = (num * F.lit(Decimal(10) ** num_scale)).cast("decimal(38,0)") * F.lit(Decimal(10) ** (den_scale + scale))
+    d = (den * F.lit(Decimal(10) ** den_scale)).cast("decimal(38,0)") * F.lit(Decimal(10) ** num_scale)
+    n, d = n.cast("decimal(38,0)"), d.cast("decimal(38,0)")
+    two = F.lit(Decimal(2))
+    mag = F.call_function("div", F.abs(n) * two + F.abs(d), F.abs(d) * two)
+    neg = (n < 0) != (d < 0)
+    return F.when(d != 0, F.when(neg & (n != 0), -mag).otherwise(mag))
 
 
-def ratio_half_up(num: ColumnOrName, den: ColumnOrName, scale: int = 2, num_scale: int = 0) -> Column:
-    """Exact ``round(num / den, scale)`` with HALF_UP, returned as double.
+def ratio_half_up(num: ColumnOrName, den: ColumnOrName, scale: int = 2, num_scale: int = 0,
+                  den_scale: int = 0) -> Column:
+    """Exact ``round(num / den, scale)`` with HALF_UP (away from zero), returned as double.
 
-    ``num`` is integral, or decimal with ``num_scale`` digits; ``den`` is a count.  The
-    quotient is formed with integer division on the unscaled value, so no intermediate
-    rounding happens:  q = (2*u*10^scale + den*10^num_scale) div (2*den*10^num_scale).
+    ``num`` / ``den`` are integral, or decimals with ``num_scale`` / ``den_scale`` digits.
+    The quotient is formed by integer division of the unscaled values, so nothing is
+    rounded twice (a decimal division would first round at its own result scale).
     NULL when ``den`` is 0 or NULL.
     """
-    u = (_c(num) * F.lit(Decimal(10) ** num_scale)).cast("decimal(38,0)")
-    d = (_c(den).cast("decimal(38,0)") * F.lit(Decimal(10) ** num_scale)).cast("decimal(38,0)")
-    two_k = F.lit(Decimal(2) * Decimal(10) ** scale)
-    two = F.lit(Decimal(2))
-    pos = F.call_function("div", F.abs(u) * two_k + d, d * two)
-    q = F.when(u < 0, -pos).otherwise(pos)
-    return F.when(d > 0, q.cast("double") / F.lit(float(10 ** scale)))
+    q = _half_up_quotient(_c(num), _c(den), scale, num_scale, den_scale)
+    return q.cast("double") / F.lit(float(10 ** scale))
+
+
+def ratio_half_up_decimal(num: ColumnOrName, den: ColumnOrName, scale: int = 2, num_scale: int = 0,
+                          den_scale: int = 0) -> Column:
+    """Same as ``ratio_half_up`` but kept as decimal(38, scale) for further exact math."""
+    q = _half_up_quotient(_c(num), _c(den), scale, num_scale, den_scale)
+    return (q.cast("decimal(38,0)") * F.lit(Decimal(1).scaleb(-scale))).cast(f"decimal(38,{scale})")
 
 
 def pct_decimal(part: ColumnOrName, total: ColumnOrName, scale: int = 2) -> Column:
