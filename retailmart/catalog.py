@@ -9,6 +9,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans import analytics as A
+from .quality import jobs as J
 from .plans.warehouse import star_from_testdata
 
 # Test parameter values (FIXTURES.md §4): same semantics, thresholds scaled to the data.
@@ -45,4 +46,14 @@ def queries() -> dict[str, QueryFn]:
         "filter_year_function": _on_star(A.q12a_year_function, year=1998),
         "filter_date_key_range": _on_star(A.fact_key_range, year=1998),
         "v_daily_sales": _on_star(A.v_daily_sales),
+        # data quality
+        "dq_suite": J.suite_on_star,
+        "dq_run_summary": J.suite_summary,
+        "dq_not_null": J.not_null_checks,
+        "dq_no_duplicates": J.duplicate_checks,
+        "dq_value_range": J.range_checks,
+        "dq_allowed_values": J.allowed_values_checks,
+        "dq_referential_integrity": J.ri_checks,
+        "dq_date_logic": J.date_logic_checks,
+        "dq_pass_rate": J.pass_rate_by_year,
     }

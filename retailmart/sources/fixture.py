@@ -159,3 +159,71 @@ def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "stg_reviews": stg_reviews(spark, sf_dir),
         "category_lookup": category_lookup(spark, sf_dir),
     }
+
+
+# Dirty tables for the data-quality operators (FIXTURES.md §5) -----------------------------
+# The moduli that select the rows to spoil.
+NULL_ID_MOD, ORPHAN_MOD, BOGUS_STATUS_MOD, NULL_STATUS_MOD, NEGATIVE_PRICE_MOD = 97, 83, 101, 103, 89
+DUP_MOD, TRIPLE_MOD = 89, 178
+NEG_WEIGHT_MOD, NULL_WEIGHT_MOD = 50, 70
+ORPHAN_OFFSET = 1000000000
+
+
+def orders_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with NULL ids, orphan customers, bad and NULL statuses, negative prices."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    status = (F.when(k % BOGUS_STATUS_MOD == 0, F.lit("bogus"))
+              .when(k % NULL_STATUS_MOD == 0, F.lit(None).cast("string"))
+              .otherwise(_map("o_orderstatus", ORDER_STATUS_MAP)))
+    price = F.col("o_totalprice").cast("decimal(12,2)")
+    return o.select(
+        F.when(k % NULL_ID_MOD == 0, F.lit(None).cast("long")).otherwise(k).alias("order_id"),
+        F.when(k % ORPHAN_MOD == 0, F.col("o_custkey") + ORPHAN_OFFSET).otherwise(F.col("o_custkey")).alias("customer_id"),
+        status.alias("order_status"),
+        F.when(k % NEGATIVE_PRICE_MOD == 0, -price).otherwise(price).alias("price"),
+        F.col("o_orderdate").alias("order_purchase_timestamp"),
+    )
+
+
+def orders_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders plus repeated rows: some ids twice, some three times."""
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+        _map("o_orderstatus", ORDER_STATUS_MAP).alias("order_status"))
+    k = F.col("order_id")
+    return o.unionByName(o.where(k % DUP_MOD == 0)).unionByName(o.where(k % TRIPLE_MOD == 0))
+
+
+def products_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = stg_products(spark, sf_dir)
+    k = F.col("product_id")
+    w = (F.when(k % NULL_WEIGHT_MOD == 0, F.lit(None).cast("decimal(10,2)"))
+         .when(k % NEG_WEIGHT_MOD == 0, -F.col("weight_g")).otherwise(F.col("weight_g")))
+    return p.withColumn("weight_g", w)
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their order date (for the date-logic rule: ship >= order)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def empty_like(df: DataFrame) -> DataFrame:
+    """Zero rows with the same schema (pass rate 0 %, failure pct 0)."""
+    return df.where(F.lit(False))
+
+
+def staging_dirty(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Staging tables for the rule-table checks: the orders and items are spoiled."""
+    stg = staging(spark, sf_dir)
+    od = orders_dirty(spark, sf_dir)
+    items = stg["stg_order_items"]
+    k = F.col("order_id")
+    items = (items.withColumn("product_id", F.when(k % 211 == 0, F.lit(None).cast("long")).otherwise(F.col("product_id")))
+             .withColumn("price", F.when(k % 89 == 0, -F.col("price")).otherwise(F.col("price"))))
+    stg["stg_orders"] = orders_dup(spark, sf_dir).unionByName(
+        od.select("order_id", "customer_id", "order_status").where(F.col("order_id").isNull()))
+    stg["stg_order_items"] = items
+    return stg
