@@ -56,4 +56,12 @@ def queries() -> dict[str, QueryFn]:
         "dq_referential_integrity": J.ri_checks,
         "dq_date_logic": J.date_logic_checks,
         "dq_pass_rate": J.pass_rate_by_year,
+        "dq_rule_table_run": J.rule_table_results,
+        "dq_rule_table_null": lambda s, d: J.rule_table_results(s, d, "NULL_CHECK"),
+        "dq_rule_table_duplicate": lambda s, d: J.rule_table_results(s, d, "DUPLICATE_CHECK"),
+        "dq_rule_table_range": lambda s, d: J.rule_table_results(s, d, "RANGE_CHECK"),
+        "dq_results_with_rules": J.rule_table_joined,
+        "dq_gate": J.rule_table_gate,
+        "dq_monitor": J.rule_table_monitor,
+        "mon_alert_body": J.rule_table_alert,
     }

@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 
 _MAX_BUCKETS = 4096
 _OVERSAMPLE = 16
+# Up to this many rows are numbered in one sorted task (one bucket): cheaper than the
+# sampling and counting jobs, and bounded, so it cannot grow with the data.
+SINGLE_BUCKET_MAX_ROWS = 2_000_000
 
 
 def _order_cols(cols: list[str]) -> list[Column]:
@@ -31,7 +34,8 @@ def _default_buckets(df: DataFrame) -> int:
     return max(1, min(n, _MAX_BUCKETS))
 
 
-def split_points(source: DataFrame, cols: list[str], n_buckets: int, seed: int = 17) -> list[tuple]:
+def split_points(source: DataFrame, cols: list[str], n_buckets: int, seed: int = 17,
+                 total: int | None = None) -> list[tuple]:
     """Up to ``n_buckets - 1`` sorted, distinct split keys from a bounded random sample.
 
     The sample is capped at ``n_buckets * 16 * 2`` rows, so the driver receives a bounded
@@ -40,7 +44,7 @@ def split_points(source: DataFrame, cols: list[str], n_buckets: int, seed: int =
     if n_buckets <= 1:
         return []
     src = source.select(*cols)
-    total = src.count()
+    total = src.count() if total is None else total
     if total == 0:
         return []
     target = n_buckets * _OVERSAMPLE
@@ -110,14 +114,20 @@ def dense_surrogate_key(df: DataFrame, order_by: list[str], name: str,
 
 def _number(df: DataFrame, order_by: list[str], name: str, n_buckets: int | None,
             sample_from: DataFrame | None, bucket_by: list[str] | None = None) -> tuple[DataFrame, int]:
-    n_buckets = n_buckets or _default_buckets(df)
     bucket_by = bucket_by or order_by
     if order_by[:len(bucket_by)] != bucket_by:
         raise ValueError("bucket_by must be a prefix of order_by")
-    splits = split_points(sample_from if sample_from is not None else df, bucket_by, n_buckets)
+    source = sample_from if sample_from is not None else df
+    source_rows = source.count()
+    if n_buckets is None:
+        n_buckets = 1 if source_rows <= SINGLE_BUCKET_MAX_ROWS else _default_buckets(df)
+    splits = split_points(source, bucket_by, n_buckets, total=source_rows)
     b = "__rm_bucket"
     bucketed = df.withColumn(b, bucket_expr(df, bucket_by, splits))
-    counts = {r[0]: r[1] for r in bucketed.groupBy(b).count().collect()}
+    if splits:
+        counts = {r[0]: r[1] for r in bucketed.groupBy(b).count().collect()}
+    else:
+        counts = {0: source_rows if sample_from is None else df.count()}
     offsets, run = [], 0
     for i in range(len(splits) + 1):
         offsets.append(run)
