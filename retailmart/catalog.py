@@ -64,4 +64,9 @@ def queries() -> dict[str, QueryFn]:
         "dq_gate": J.rule_table_gate,
         "dq_monitor": J.rule_table_monitor,
         "mon_alert_body": J.rule_table_alert,
+        "mon_job_history": J.monitor_job_history,
+        "mon_job_schedules": J.monitor_job_schedules,
+        "mon_dq_history": J.monitor_dq_history,
+        "mon_latest_failures": J.monitor_latest_failures,
+        "dq_history_runs": J.history_runs,
     }

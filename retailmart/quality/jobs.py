@@ -138,3 +138,26 @@ def rule_table_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rule_table_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RT.alert_body(rule_table_results(spark, sf_dir), RT.rules_frame(spark), TEST_CHECK_TIME.date())
+
+
+# Monitoring data sets -------------------------------------------------------------------------
+def monitor_job_history(spark: SparkSession, sf_dir: str, job_name: str = "job_purchase", last_n: int = 10):
+    from ..plans.monitor import job_history
+    t = fixture.job_tables(spark, sf_dir)
+    return job_history(t["jobs"], t["job_runs"], job_name, last_n)
+
+
+def monitor_job_schedules(spark: SparkSession, sf_dir: str, job_name: str = "job_purchase"):
+    from ..plans.monitor import job_schedules
+    t = fixture.job_tables(spark, sf_dir)
+    return job_schedules(t["jobs"], t["job_schedules"], t["schedules"], job_name)
+
+
+def monitor_dq_history(spark: SparkSession, sf_dir: str, last_n: int = 10):
+    from ..plans.monitor import dq_history
+    return dq_history(run_summary(history_runs(spark, sf_dir)), last_n)
+
+
+def monitor_latest_failures(spark: SparkSession, sf_dir: str, n: int = 20):
+    from ..plans.monitor import latest_failures
+    return latest_failures(history_runs(spark, sf_dir), n)

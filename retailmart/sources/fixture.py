@@ -227,3 +227,29 @@ def staging_dirty(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         od.select("order_id", "customer_id", "order_status").where(F.col("order_id").isNull()))
     stg["stg_order_items"] = items
     return stg
+
+
+# Job-history tables derived from the event stream (for the monitoring data sets) ---------
+def job_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """jobs, job_runs, job_schedules, schedules: one job per event type, one step run per
+    event (status from the event id, six codes so one is unknown), one schedule per hour."""
+    ev = table(spark, sf_dir, "events")
+    jobs = ev.select(F.col("event_type").alias("job_id")).distinct() \
+        .select("job_id", F.concat(F.lit("job_"), F.col("job_id")).alias("name"))
+    step = (F.col("user_id") % 3 + 1).cast("int")
+    runs = ev.select(
+        F.col("event_type").alias("job_id"),
+        F.col("event_id").alias("instance_id"),
+        step.alias("step_id"),
+        F.concat(F.lit("step_"), step.cast("string")).alias("step_name"),
+        (F.year("ts") * 10000 + F.month("ts") * 100 + F.dayofmonth("ts")).cast("int").alias("run_date"),
+        (F.hour("ts") * 10000 + F.minute("ts") * 100 + F.second("ts")).cast("int").alias("run_time"),
+        F.floor("value").cast("int").alias("run_duration"),
+        (F.col("event_id") % 6).cast("int").alias("run_status"),
+        F.col("props").alias("message"))
+    hour = F.hour("ts").cast("int")
+    schedules = ev.select(hour.alias("schedule_id")).distinct().select(
+        "schedule_id", F.concat(F.lit("Daily_"), F.lpad(F.col("schedule_id").cast("string"), 2, "0"), F.lit("h")).alias("name"))
+    job_schedules = (ev.where(F.col("event_id") % 7 == 0)
+                     .select(F.col("event_type").alias("job_id"), hour.alias("schedule_id")).distinct())
+    return {"jobs": jobs, "job_runs": runs, "schedules": schedules, "job_schedules": job_schedules}
