@@ -9,6 +9,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans import analytics as A
+from .plans import operator_queries as O
 from .quality import jobs as J
 from .plans.warehouse import star_from_testdata
 
@@ -26,6 +27,33 @@ def _on_star(fn, **kw) -> QueryFn:
 
 
 def queries() -> dict[str, QueryFn]:
+    q = _named()
+    q.update({name: getattr(O, name) for name in OPERATOR_QUERIES})
+    from .oracle import ALIASES
+    for alias, target in ALIASES.items():
+        q[alias] = q[target]
+    return q
+
+
+# Operator-level queries (functions of the same name in plans.operator_queries).
+OPERATOR_QUERIES = [
+    "scan_csv_staging", "scan_missing_optional", "scan_category_lookup", "sink_staging_overwrite",
+    "sink_reload_table", "sink_append_audit", "sink_replace_day", "rate_lookup_fallback", "values_rows",
+    "normalize_columns", "nan_inf_to_null", "coerce_numeric", "date_key", "currency_convert", "null_default",
+    "delivery_days", "late_flag", "segment_case", "recency_days", "status_decode", "calendar_fields",
+    "safe_ratio", "pct_decimal", "int_pct_truncated", "type_casts", "year_of_date_key", "format_timestamp",
+    "run_id_label", "number_label", "concat_alert_line", "text_prefix_upper", "inject_nulls",
+    "filter_status", "filter_null", "filter_not_in_list", "filter_out_of_range", "filter_optional_param",
+    "filter_post_agg", "filter_same_day", "filter_column_compare",
+    "join_star_inner", "join_left_preagg", "join_fact_dim", "join_anti_orphans",
+    "agg_sum_by_keys", "agg_count_distinct", "agg_avg_float", "agg_avg_money", "agg_avg_int_truncated",
+    "agg_max_date_string", "agg_flag_sum", "agg_global", "agg_distinct_rows", "agg_row_count",
+    "win_ntile", "build_dim_date", "build_dim_date_reference_range", "build_dim_customer", "build_dim_seller",
+    "build_dim_product", "translate_category", "dense_surrogate_key", "build_fact_orders", "clear_and_rebuild",
+]
+
+
+def _named() -> dict[str, QueryFn]:
     return {
         "q01_ytd_revenue": _on_star(A.q01_ytd_revenue),
         "q02_seller_rank_in_state": _on_star(A.q02_seller_rank_in_state),
@@ -69,4 +97,5 @@ def queries() -> dict[str, QueryFn]:
         "mon_dq_history": J.monitor_dq_history,
         "mon_latest_failures": J.monitor_latest_failures,
         "dq_history_runs": J.history_runs,
+        "filter_vs_scalar_agg": _on_star(A.q07_above_average_customers),
     }
