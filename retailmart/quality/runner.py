@@ -45,72 +45,64 @@ def _rule_literals(rule: Rule, seq: int) -> list[Column]:
             F.lit(Decimal(rule.threshold)).cast("decimal(5,2)").alias("threshold")]
 
 
-def _scalar_part(df: DataFrame, rules: list[tuple[int, Rule]], by: list[str]) -> DataFrame | None:
-    """One aggregate for all scalar rules; rows unpivoted to one per rule."""
-    aggs = [F.count(F.lit(1)).alias("_total")]
-    aggs += [F.count_if(r.failing()).alias(f"_f{seq}") for seq, r in rules]
-    wide = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    entries = [F.struct(*_rule_literals(r, seq), F.col(f"_f{seq}").alias("_failed")) for seq, r in rules]
-    long = wide.select(*by, "_total", F.explode(F.array(*entries)).alias("_r"))
-    return long.select(*by, "_total", "_r.*")
-
+def _one_row_per_group(df: DataFrame, by: list[str], *aggs: Column) -> DataFrame:
+    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
-def _totals(df: DataFrame, by: list[str]) -> DataFrame:
-    return (df.groupBy(*by).agg(F.count(F.lit(1)).alias("_total")) if by
-            else df.agg(F.count(F.lit(1)).alias("_total")))
 
+def _duplicate_failures(df: DataFrame, rule: Rule, by: list[str], name: str) -> DataFrame:
+    """Surplus rows per group: sum(count - 1) over values seen more than once.
 
-def _duplicates_part(df: DataFrame, seq: int, rule: Rule, by: list[str]) -> DataFrame:
+    ``groupBy(value)`` combines map-side first, so a value holding a third of the table
+    is reduced to one row per task before the shuffle.
+    """
     counts = df.groupBy(*by, rule.column).agg(F.count(F.lit(1)).alias("_c"))
-    surplus = counts.where(F.col("_c") > 1)
-    failed = (surplus.groupBy(*by).agg(F.sum(F.col("_c") - 1).alias("_failed")) if by
-              else surplus.agg(F.sum(F.col("_c") - 1).alias("_failed")))
-    return _join_totals(_totals(df, by), failed, seq, rule, by)
+    return _one_row_per_group(counts.where(F.col("_c") > 1), by, F.sum(F.col("_c") - 1).alias(name))
 
 
-def _ri_part(df: DataFrame, ref: DataFrame, seq: int, rule, by: list[str]) -> DataFrame:
+def _orphan_failures(df: DataFrame, ref: DataFrame, rule, by: list[str], name: str) -> DataFrame:
+    """Non-NULL values without a match: the column is first reduced to (value, count), so
+    the anti join sees each distinct value once however skewed the column is."""
     counts = (df.where(F.col(rule.column).isNotNull())
               .groupBy(*by, rule.column).agg(F.count(F.lit(1)).alias("_c")))
     keys = ref.select(F.col(rule.ref_col).alias(rule.column)).where(F.col(rule.column).isNotNull())
     orphans = counts.join(keys, rule.column, "left_anti")
-    failed = (orphans.groupBy(*by).agg(F.sum("_c").alias("_failed")) if by
-              else orphans.agg(F.sum("_c").alias("_failed")))
-    return _join_totals(_totals(df, by), failed, seq, rule, by)
-
-
-def _join_totals(totals: DataFrame, failed: DataFrame, seq: int, rule: Rule, by: list[str]) -> DataFrame:
-    # both sides have one row per group: a small join
-    joined = totals.join(failed, by, "left") if by else totals.crossJoin(failed)
-    return joined.select(*by, "_total", *_rule_literals(rule, seq),
-                         F.coalesce(F.col("_failed"), F.lit(0)).cast("long").alias("_failed"))
+    return _one_row_per_group(orphans, by, F.sum("_c").alias(name))
 
 
 def evaluate_table(df: DataFrame, table_name: str, rules, refs: dict[str, DataFrame] | None = None,
                    by: list[str] | None = None, seq_start: int = 1) -> DataFrame | None:
     """Raw results of one table's rules: (by..., _seq, table_name, column_name, rule_name,
-    rule_type, severity, threshold, total_records, failed_records)."""
+    rule_type, severity, threshold, total_records, failed_records).
+
+    One aggregate computes the row count and every scalar rule; each uniqueness or
+    integrity rule adds one grouping of its column; the per-group results (one row per
+    group each) are joined and unpivoted to one row per rule.
+    """
     by = list(by or [])
-    numbered = [(seq_start + i, r) for i, r in enumerate(rules)]
-    scalar = [(s, r) for s, r in numbered if r.kind == "scalar" and getattr(r, "active", True)]
-    parts = []
-    if scalar:
-        parts.append(_scalar_part(df, scalar, by))
+    numbered = [(seq_start + i, r) for i, r in enumerate(rules) if getattr(r, "active", True)]
+    if not numbered:
+        return None
+    aggs = [F.count(F.lit(1)).alias("_total")]
+    aggs += [F.count_if(r.failing()).alias(f"_f{s}") for s, r in numbered if r.kind == "scalar"]
+    wide = _one_row_per_group(df, by, *aggs)
     for s, r in numbered:
         if r.kind == "duplicates":
-            parts.append(_duplicates_part(df, s, r, by))
+            part = _duplicate_failures(df, r, by, f"_f{s}")
         elif r.kind == "ri":
             if refs is None or r.ref_table not in refs:
                 raise KeyError(f"reference table {r.ref_table!r} not supplied")
-            parts.append(_ri_part(df, refs[r.ref_table], s, r, by))
-    if not parts:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*by, "_seq", F.lit(table_name).alias("table_name"), "column_name", "rule_name",
-                      "rule_type", "severity", "threshold",
-                      F.col("_total").cast("long").alias("total_records"),
-                      F.col("_failed").cast("long").alias("failed_records"))
+            part = _orphan_failures(df, refs[r.ref_table], r, by, f"_f{s}")
+        else:
+            continue
+        # both sides hold one row per group: a small join (a one-row cross join without groups)
+        wide = wide.join(part, by, "left") if by else wide.crossJoin(part)
+    entries = [F.struct(*_rule_literals(r, s), F.coalesce(F.col(f"_f{s}"), F.lit(0)).alias("_failed"))
+               for s, r in numbered]
+    long = wide.select(*by, "_total", F.explode(F.array(*entries)).alias("_r")).select(*by, "_total", "_r.*")
+    return long.select(*by, "_seq", F.lit(table_name).alias("table_name"), "column_name", "rule_name",
+                       "rule_type", "severity", "threshold",
+                       F.col("_total").cast("long").alias("total_records"),
+                       F.col("_failed").cast("long").alias("failed_records"))
 
 
 def _details_for(rules_by_seq: dict[int, Rule]) -> Column:
