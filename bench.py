@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from retailmart.catalog import TEST_SEGMENTS  # noqa: E402
 from retailmart.plans import analytics as A  # noqa: E402
-from retailmart.plans.warehouse import build_star, write_star  # noqa: E402
+from retailmart.plans.warehouse import run_pipeline  # noqa: E402
 from retailmart.quality import jobs as J  # noqa: E402
 from retailmart.quality.rules import default_suite  # noqa: E402
 from retailmart.quality.runner import run_checks  # noqa: E402
@@ -54,9 +54,8 @@ def main() -> None:
     stg = {name: spark.read.parquet(f"{root}/{name}") for name in fixture.staging(spark, sf_dir)}
 
     def build():
-        tables = build_star(spark, stg, rate=fixture.FIXTURE_RATE, date_start=fixture.FIXTURE_DATE_START,
+        return run_pipeline(spark, stg, rate=fixture.FIXTURE_RATE, date_start=fixture.FIXTURE_DATE_START,
                             date_end=fixture.FIXTURE_DATE_END)
-        return write_star(spark, tables)
 
     build()  # warm-up
     builds = []

@@ -24,7 +24,7 @@ from ..quality import rule_table as RT
 from ..session import scratch_path
 from ..sources import fixture, lookup, sinks, staging
 from . import analytics as A
-from .warehouse import build_star, read_star, star_from_testdata, write_star
+from .warehouse import read_star, run_pipeline, star_from_testdata
 
 FACT_COLS = A.FACT_COLS
 
@@ -484,11 +484,11 @@ def build_fact_orders(spark, sf_dir):
 
 
 def clear_and_rebuild(spark, sf_dir):
-    """Whole pipeline into a fresh root; report the row count of every published table."""
+    """Whole pipeline (DQ gate, dimensions, fact) into a fresh root; report the row count
+    of every published table."""
     stg = _stg(spark, sf_dir)
-    tables = build_star(spark, stg, rate=fixture.FIXTURE_RATE, date_start=fixture.FIXTURE_DATE_START,
-                        date_end=fixture.FIXTURE_DATE_END)
-    built = write_star(spark, tables)
+    built = run_pipeline(spark, stg, rate=fixture.FIXTURE_RATE, date_start=fixture.FIXTURE_DATE_START,
+                         date_end=fixture.FIXTURE_DATE_END, gate=True, check_time=J.TEST_CHECK_TIME)
     star = read_star(spark, built.path)
     out = None
     for n in ["dim_date", "dim_customer", "dim_product", "dim_seller", "fact_orders"]:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import FALLBACK_RATE
 from ..operators import star
-from ..session import scratch_path
+from ..session import checkpoint_dir, scratch_path
 from ..sources import fixture
 
 STAR_TABLES = ("dim_date", "dim_customer", "dim_product", "dim_seller", "fact_orders")
@@ -42,7 +42,6 @@ def build_star(spark: SparkSession, stg: dict[str, DataFrame], rate: Decimal = F
     dim_date = star.build_dim_date(spark, date_start, date_end)
     fact = star.build_fact_orders(stg, dim_customer, dim_product, dim_seller, rate, with_order_sk=False)
     if checkpoint_fact:
-        from ..session import checkpoint_dir
         checkpoint_dir(spark)
         fact = fact.checkpoint(eager=True)
     fact = star.add_order_sk(fact, sample_from=stg["stg_order_items"])
@@ -51,18 +50,64 @@ def build_star(spark: SparkSession, stg: dict[str, DataFrame], rate: Decimal = F
 
 
 def write_star(spark: SparkSession, tables: dict[str, DataFrame], root: str | None = None) -> Star:
-    """Write every table under a fresh root; the fact is partitioned by order year so
-    year-bounded queries prune files.  Returns plans that read the written tables."""
+    """Write already-built star plans under a fresh root (see ``run_pipeline`` for the
+    ordered build that writes dimensions before the fact reads them)."""
     root = root or scratch_path(spark, "star")
     for name, df in tables.items():
-        w = df.write.mode("overwrite")
-        if name == "fact_orders":
-            df = df.withColumn("order_year", F.call_function("div", F.col("date_sk"), F.lit(10000)).cast("int"))
-            # no extra shuffle: the numbered fact is already spread by order_id ranges
-            w = df.write.mode("overwrite").partitionBy("order_year")
-        w.parquet(f"{root}/{name}")
+        _write_table(df, root, name)
+    _publish(spark, root)
+    return read_star(spark, root)
+
+
+def _write_table(df: DataFrame, root: str, name: str) -> None:
+    if name == "fact_orders":
+        # partitioned by order year: year-bounded queries prune whole directories.  No
+        # extra shuffle: the numbered fact is already spread over tasks by order_id range.
+        df = df.withColumn("order_year", F.call_function("div", F.col("date_sk"), F.lit(10000)).cast("int"))
+        df.write.mode("overwrite").partitionBy("order_year").parquet(f"{root}/{name}")
+    else:
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+
+
+def _publish(spark: SparkSession, root: str) -> None:
+    """Marker written last: a root without it is an unfinished build and is never read."""
     spark.createDataFrame([(_dt.datetime.now().isoformat(),)], "published string") \
         .coalesce(1).write.mode("overwrite").json(f"{root}/_PUBLISHED")
+
+
+def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | None = None,
+                 rate: Decimal = FALLBACK_RATE, date_start=star.DEFAULT_DATE_START,
+                 date_end=star.DEFAULT_DATE_END, lookup: DataFrame | None = None,
+                 gate: bool = False, check_time: _dt.datetime | None = None) -> Star:
+    """Staging -> (optional DQ gate) -> dimensions (written) -> fact (written) -> publish.
+
+    Dimensions are written first and the fact joins the written tables, so their keys are
+    computed once and the joins see real sizes.  The fact before numbering is
+    checkpointed into ``spark.checkpoint.dir`` so the numbering does not recompute the
+    joins.  Everything goes to a new root, published by a marker only when complete
+    (all-or-nothing, nothing is cleared before the new build exists).
+    """
+    if gate:
+        from ..quality import rule_table as RT
+        rules = RT.rules_frame(spark)
+        when = check_time or _dt.datetime.now()
+        RT.dq_gate(RT.evaluate_rules(stg, rules, when), rules, when.date())
+    root = root or scratch_path(spark, "star")
+    lk = lookup if lookup is not None else stg.get("category_lookup")
+    dims = {
+        "dim_date": star.build_dim_date(spark, date_start, date_end),
+        "dim_customer": star.build_dim_customer(stg["stg_customers"]),
+        "dim_product": star.build_dim_product(stg["stg_products"], lk),
+        "dim_seller": star.build_dim_seller(stg["stg_sellers"]),
+    }
+    for name, df in dims.items():
+        _write_table(df, root, name)
+    written = {n: spark.read.parquet(f"{root}/{n}") for n in dims}
+    checkpoint_dir(spark)
+    fact = star.build_fact_orders(stg, written["dim_customer"], written["dim_product"], written["dim_seller"],
+                                  rate, with_order_sk=False).checkpoint(eager=True)
+    _write_table(star.add_order_sk(fact, sample_from=stg["stg_order_items"]), root, "fact_orders")
+    _publish(spark, root)
     return read_star(spark, root)
 
 
@@ -85,8 +130,7 @@ def star_from_testdata(spark: SparkSession, sf_dir: str) -> Star:
     if hit is not None:
         return hit
     stg = staging_from_testdata(spark, sf_dir)
-    tables = build_star(spark, stg, rate=fixture.FIXTURE_RATE,
-                        date_start=fixture.FIXTURE_DATE_START, date_end=fixture.FIXTURE_DATE_END)
-    built = write_star(spark, tables)
+    built = run_pipeline(spark, stg, rate=fixture.FIXTURE_RATE,
+                         date_start=fixture.FIXTURE_DATE_START, date_end=fixture.FIXTURE_DATE_END)
     _CACHE[key] = built
     return built
