@@ -22,7 +22,7 @@ _MAX_BUCKETS = 4096
 _OVERSAMPLE = 16
 # Up to this many rows are numbered in one sorted task (one bucket): cheaper than the
 # sampling and counting jobs, and bounded, so it cannot grow with the data.
-SINGLE_BUCKET_MAX_ROWS = 2_000_000
+SINGLE_BUCKET_MAX_ROWS = 200_000
 
 
 def _order_cols(cols: list[str]) -> list[Column]:

@@ -82,9 +82,8 @@ def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | Non
     """Staging -> (optional DQ gate) -> dimensions (written) -> fact (written) -> publish.
 
     Dimensions are written first and the fact joins the written tables, so their keys are
-    computed once and the joins see real sizes.  The fact before numbering is
-    checkpointed into ``spark.checkpoint.dir`` so the numbering does not recompute the
-    joins.  Everything goes to a new root, published by a marker only when complete
+    computed once and the joins see real sizes.  The fact before numbering is written as
+    Parquet under ``spark.checkpoint.dir`` so the numbering does not recompute the joins.  Everything goes to a new root, published by a marker only when complete
     (all-or-nothing, nothing is cleared before the new build exists).
     """
     if gate:
@@ -103,9 +102,12 @@ def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | Non
     for name, df in dims.items():
         _write_table(df, root, name)
     written = {n: spark.read.parquet(f"{root}/{n}") for n in dims}
-    checkpoint_dir(spark)
-    fact = star.build_fact_orders(stg, written["dim_customer"], written["dim_product"], written["dim_seller"],
-                                  rate, with_order_sk=False).checkpoint(eager=True)
+    # Lineage cut: the joined fact is written once as a columnar table in the shared
+    # checkpoint folder; counting and numbering then read only the columns they need.
+    pre_key = scratch_path(spark, "fact-prekey")
+    star.build_fact_orders(stg, written["dim_customer"], written["dim_product"], written["dim_seller"],
+                           rate, with_order_sk=False).write.parquet(pre_key)
+    fact = spark.read.parquet(pre_key)
     _write_table(star.add_order_sk(fact, sample_from=stg["stg_order_items"]), root, "fact_orders")
     _publish(spark, root)
     return read_star(spark, root)
