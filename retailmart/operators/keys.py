@@ -74,15 +74,18 @@ def _key_and_literals(df: DataFrame, cols: list[str], splits: list[tuple]):
     return key, lits
 
 
-def bucket_expr(df: DataFrame, cols: list[str], splits: list[tuple]) -> Column:
+def bucket_expr(df: DataFrame, cols: list[str], splits: list[tuple], key_col: str | None = None) -> Column:
     """Order-preserving bucket id 0..len(splits): number of split points <= key.
 
     A balanced CASE tree over the literals: O(log n) comparisons per row.  NULL keys
-    (single-column) go to bucket 0, matching NULLS FIRST.
+    (single-column) go to bucket 0, matching NULLS FIRST.  ``key_col`` names a column
+    already holding ``struct(cols...)`` for composite keys.
     """
     if not splits:
         return F.lit(0)
     key, lits = _key_and_literals(df, cols, splits)
+    if key_col is not None:
+        key = F.col(key_col)
 
     def tree(lo: int, hi: int) -> Column:
         if lo == hi:
@@ -123,7 +126,13 @@ def _number(df: DataFrame, order_by: list[str], name: str, n_buckets: int | None
         n_buckets = 1 if source_rows <= SINGLE_BUCKET_MAX_ROWS else _default_buckets(df)
     splits = split_points(source, bucket_by, n_buckets, total=source_rows)
     b = "__rm_bucket"
-    bucketed = df.withColumn(b, bucket_expr(df, bucket_by, splits))
+    if len(bucket_by) > 1 and splits:
+        # build the composite key once per row, not once per comparison of the CASE tree
+        kc = "__rm_key"
+        keyed = df.withColumn(kc, F.struct(*[F.col(c).alias(c) for c in bucket_by]))
+        bucketed = keyed.withColumn(b, bucket_expr(keyed, bucket_by, splits, key_col=kc)).drop(kc)
+    else:
+        bucketed = df.withColumn(b, bucket_expr(df, bucket_by, splits))
     if splits:
         counts = {r[0]: r[1] for r in bucketed.groupBy(b).count().collect()}
     else:
