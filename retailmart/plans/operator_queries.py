@@ -119,7 +119,7 @@ def sink_replace_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rate_lookup_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices converted with the rate of an (empty) rates table: the fallback applies."""
     rates = spark.createDataFrame([], schemas.RATES)
-    rate = lookup.rate_lookup_fallback(rates)
+    rate = lookup.rate_lookup_fallback(spark, rates)
     items = _stg(spark, sf_dir)["stg_order_items"]
     return (items.crossJoin(F.broadcast(rate))  # one-row side
             .select("order_id", "order_item_id", "price",

@@ -30,22 +30,17 @@ def scan_category_lookup(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*[F.trim(F.col(n)).alias(n) for n in names])
 
 
-def rate_lookup_fallback(rates: DataFrame | None, ccy_from: str = "BRL", ccy_to: str = "INR",
-                         fallback: Decimal = FALLBACK_RATE) -> DataFrame:
+def rate_lookup_fallback(spark: SparkSession, rates: DataFrame | None = None, ccy_from: str = "BRL",
+                         ccy_to: str = "INR", fallback: Decimal = FALLBACK_RATE) -> DataFrame:
     """One-row frame with the conversion rate: the table's rate if present, else the fallback.
 
     Replaces the live HTTP lookup: the rate comes from a ``rates(ccy_from, ccy_to, rate)``
-    table that any loader can fill.  Never a double: decimal(12,6).
+    table that any loader can fill.  Never a double: decimal(12,6).  The result is a
+    single row by construction (a global aggregate), so it can be broadcast safely.
     """
     fb = F.lit(Decimal(fallback)).cast("decimal(12,6)")
     if rates is None:
-        return rates_placeholder(fb)
+        return spark.range(1).select(fb.alias("rate"))
     found = (rates.where((F.col("ccy_from") == ccy_from) & (F.col("ccy_to") == ccy_to))
              .agg(F.max(F.col("rate").cast("decimal(12,6)")).alias("rate")))
     return found.select(F.coalesce(F.col("rate"), fb).alias("rate"))
-
-
-def rates_placeholder(fb):
-    from pyspark.sql import SparkSession as _S
-    spark = _S.getActiveSession()
-    return spark.range(1).select(fb.alias("rate"))

@@ -65,3 +65,22 @@ def test_append_keeps_history(spark):
     sinks.sink_append(df, path)
     sinks.sink_append(df, path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_rate_lookup_prefers_table_then_fallback(spark):
+    from retailmart import schemas
+    rates = spark.createDataFrame([("BRL", "INR", Decimal("16.25")), ("USD", "INR", Decimal("83.1"))], schemas.RATES)
+    assert lookup.rate_lookup_fallback(spark, rates).collect()[0]["rate"] == Decimal("16.250000")
+    empty = spark.createDataFrame([], schemas.RATES)
+    assert lookup.rate_lookup_fallback(spark, empty).collect()[0]["rate"] == Decimal("18.500000")
+    assert lookup.rate_lookup_fallback(spark).collect()[0]["rate"] == Decimal("18.500000")
+
+
+def test_pipeline_gate_stops_on_dirty_staging(spark):
+    from conftest import SF_SMALL
+    from retailmart.plans.warehouse import run_pipeline
+    from retailmart.quality.rule_table import DataQualityGateError
+    from retailmart.sources import fixture
+    with pytest.raises(DataQualityGateError):
+        run_pipeline(spark, fixture.staging_dirty(spark, SF_SMALL), gate=True,
+                     check_time=dt.datetime(2026, 1, 1, 6, 0, 0))
