@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The system this engine re-expresses loads its data as a daily batch (a scheduled job
+runs landing, data-quality gate and warehouse build once a day); no source file has a
+stream, watermark, window over event time or keyed state.  Incremental re-runs are
+covered by the batch design instead: every run writes a new warehouse root, data-quality
+results replace only their own check date (``sources.sinks.sink_replace_day``) and audit
+rows are appended.
+"""

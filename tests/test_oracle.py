@@ -23,6 +23,16 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+SIMPLE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+          "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def _same_type(spark_t, duck_t):
+    if spark_t.startswith("decimal"):
+        return duck_t.replace(" ", "") == spark_t.upper().replace(" ", "")
+    return SIMPLE.get(spark_t) == duck_t
+
+
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
     df = QUERIES[key](spark, SF_ORACLE)
@@ -31,6 +41,8 @@ def test_query_matches_oracle(spark, duck, key):
     ocols = [d[0] for d in rel.description]
     orows = rel.fetchall()
     assert sorted(cols) == sorted(ocols)
+    otypes = {d[0]: str(d[1]) for d in rel.description}
+    assert [(c, t) for c, t in df.dtypes if not _same_type(t, otypes[c])] == []
     order = sorted(range(len(ocols)), key=lambda i: ocols[i])
     sidx = [cols.index(ocols[i]) for i in order]
     a = sorted((tuple(_norm(r[i]) for i in sidx) for r in rows), key=repr)
