@@ -18,6 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Default ceiling on buckets (CASE-tree leaves, depth 12).  The numbering costs one sort of
+# the input spread over this many tasks -- the same as a global ORDER BY with as many
+# partitions -- so at very large inputs raise it with ``n_buckets`` (the tree stays
+# O(log n) per row; past codegen limits Spark evaluates it interpreted).
 _MAX_BUCKETS = 4096
 _OVERSAMPLE = 16
 # Up to this many rows are numbered in one sorted task (one bucket): cheaper than the
