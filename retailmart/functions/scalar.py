@@ -32,6 +32,13 @@ DEFAULT_AS_OF = _dt.date(2018, 12, 31)
 
 
 # Types -------------------------------------------------------------------------------
+def ts_ntz(value: _dt.datetime) -> Column:
+    """A wall-clock TIMESTAMP_NTZ literal, independent of process and session time zones."""
+    return F.make_timestamp_ntz(F.lit(value.year), F.lit(value.month), F.lit(value.day), F.lit(value.hour),
+                                F.lit(value.minute), F.lit(Decimal(value.second) + Decimal(value.microsecond)
+                                                           / Decimal(1_000_000)).cast("decimal(8,6)"))
+
+
 def to_timestamp_any(c: ColumnOrName, dtype: str) -> Column:
     """Timestamp from a staging column: strings are parsed leniently (bad -> NULL)."""
     col = _c(c)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.scalar import concat_alert_line, ratio_half_up_decimal
+from ..functions.scalar import concat_alert_line, ratio_half_up_decimal, ts_ntz
 
 NULL_CHECK, DUPLICATE_CHECK, RANGE_CHECK = "NULL_CHECK", "DUPLICATE_CHECK", "RANGE_CHECK"
 HIGH, MEDIUM, LOW = "HIGH", "MEDIUM", "LOW"
@@ -78,7 +78,7 @@ def evaluate_rules(tables: dict[str, DataFrame], rules: DataFrame, checked_at: _
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    ts = F.lit(checked_at).cast("timestamp_ntz")
+    ts = ts_ntz(checked_at)
     return out.select(
         F.col("rule_id").cast("long").alias("result_id"),
         F.col("rule_id").cast("int").alias("rule_id"),
@@ -135,7 +135,7 @@ def dq_monitor(results: DataFrame, rules: DataFrame, day: _dt.date, run_time: _d
     r = results_with_rules(results, rules, day)
     n = r.agg(F.count_if((F.col("status") == "FAIL") & (F.col("severity") == HIGH)).alias("_n"))
     fail = F.col("_n") > 0
-    return n.select(F.lit(job_name).alias("job_name"), F.lit(run_time).cast("timestamp_ntz").alias("run_time"),
+    return n.select(F.lit(job_name).alias("job_name"), ts_ntz(run_time).alias("run_time"),
                     F.when(fail, "FAIL").otherwise("SUCCESS").alias("status"),
                     F.when(fail, "High severity DQ issues found").otherwise("All checks passed").alias("message"))
 

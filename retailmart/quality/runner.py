@@ -18,7 +18,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import ratio_half_up_decimal
+from ..functions.scalar import ratio_half_up_decimal, ts_ntz
 from .rules import CRITICAL, Rule, TableChecks
 
 AUDIT_COLS = ["audit_id", "run_id", "run_date", "table_name", "column_name", "rule_name", "rule_type",
@@ -132,7 +132,7 @@ def run_checks(tables: dict[str, DataFrame], suite: list[TableChecks], run_id: s
     for p in parts[1:]:
         audit = audit.unionByName(p)
     rid = run_id if isinstance(run_id, Column) else F.lit(run_id)
-    rdate = run_date if isinstance(run_date, Column) else F.lit(run_date).cast("timestamp_ntz")
+    rdate = run_date if isinstance(run_date, Column) else ts_ntz(run_date)
     rate = pass_rate(F.col("total_records"), F.col("failed_records"))
     return (audit
             .withColumn("pass_rate", rate)
