@@ -54,8 +54,7 @@ def main() -> None:
     stg = {name: spark.read.parquet(f"{root}/{name}") for name in fixture.staging(spark, sf_dir)}
 
     def build():
-        return run_pipeline(spark, stg, rate=fixture.FIXTURE_RATE, date_start=fixture.FIXTURE_DATE_START,
-                            date_end=fixture.FIXTURE_DATE_END)
+        return run_pipeline(spark, stg, rate=fixture.FIXTURE_RATE)
 
     build()  # warm-up
     builds = []

@@ -48,7 +48,7 @@ OPERATOR_QUERIES = [
     "join_star_inner", "join_left_preagg", "join_fact_dim", "join_anti_orphans",
     "agg_sum_by_keys", "agg_count_distinct", "agg_avg_float", "agg_avg_money", "agg_avg_int_truncated",
     "agg_max_date_string", "agg_flag_sum", "agg_global", "agg_distinct_rows", "agg_row_count",
-    "win_ntile", "build_dim_date", "build_dim_date_reference_range", "build_dim_customer", "build_dim_seller",
+    "win_ntile", "build_dim_date", "build_dim_customer", "build_dim_seller",
     "build_dim_product", "translate_category", "dense_surrogate_key", "build_fact_orders", "clear_and_rebuild",
 ]
 

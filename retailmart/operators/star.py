@@ -33,6 +33,17 @@ def build_dim_date(spark: SparkSession, start=DEFAULT_DATE_START, end=DEFAULT_DA
     return spine.select(*[c.alias(n) for n, c in cal.items()])
 
 
+def calendar_range(stg_orders: DataFrame, col: str = "order_purchase_timestamp") -> tuple[_dt.date, _dt.date]:
+    """Whole calendar years covering the purchase dates (one small aggregate; defaults to the
+    reference range when there are no orders)."""
+    o_type = dict(stg_orders.dtypes)[col]
+    ts = X.to_timestamp_any(col, o_type)
+    row = stg_orders.agg(F.min(F.year(ts)).alias("lo"), F.max(F.year(ts)).alias("hi")).collect()[0]
+    if row["lo"] is None:
+        return DEFAULT_DATE_START, DEFAULT_DATE_END
+    return _dt.date(row["lo"], 1, 1), _dt.date(row["hi"], 12, 31)
+
+
 def _as_date(v) -> _dt.date:
     return v if isinstance(v, _dt.date) else _dt.date.fromisoformat(str(v))
 

@@ -448,11 +448,9 @@ def win_ntile(spark, sf_dir, k: int = 4):
 
 # Star builders ----------------------------------------------------------------------------------
 def build_dim_date(spark, sf_dir):
-    return S.build_dim_date(spark, fixture.FIXTURE_DATE_START, fixture.FIXTURE_DATE_END)
-
-
-def build_dim_date_reference_range(spark, sf_dir):
-    return S.build_dim_date(spark)
+    """Calendar over the whole years of the order dates."""
+    lo, hi = S.calendar_range(_orders(spark, sf_dir))
+    return S.build_dim_date(spark, lo, hi)
 
 
 def build_dim_customer(spark, sf_dir):
@@ -487,8 +485,7 @@ def clear_and_rebuild(spark, sf_dir):
     """Whole pipeline (DQ gate, dimensions, fact) into a fresh root; report the row count
     of every published table."""
     stg = _stg(spark, sf_dir)
-    built = run_pipeline(spark, stg, rate=fixture.FIXTURE_RATE, date_start=fixture.FIXTURE_DATE_START,
-                         date_end=fixture.FIXTURE_DATE_END, gate=True, check_time=J.TEST_CHECK_TIME)
+    built = run_pipeline(spark, stg, rate=fixture.FIXTURE_RATE, gate=True, check_time=J.TEST_CHECK_TIME)
     star = read_star(spark, built.path)
     out = None
     for n in ["dim_date", "dim_customer", "dim_product", "dim_seller", "fact_orders"]:

@@ -76,15 +76,15 @@ def _publish(spark: SparkSession, root: str) -> None:
 
 
 def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | None = None,
-                 rate: Decimal = FALLBACK_RATE, date_start=star.DEFAULT_DATE_START,
-                 date_end=star.DEFAULT_DATE_END, lookup: DataFrame | None = None,
+                 rate: Decimal = FALLBACK_RATE, date_start=None, date_end=None, lookup: DataFrame | None = None,
                  gate: bool = False, check_time: _dt.datetime | None = None) -> Star:
     """Staging -> (optional DQ gate) -> dimensions (written) -> fact (written) -> publish.
 
     Dimensions are written first and the fact joins the written tables, so their keys are
     computed once and the joins see real sizes.  The fact before numbering is written as
     Parquet under ``spark.checkpoint.dir`` so the numbering does not recompute the joins.  Everything goes to a new root, published by a marker only when complete
-    (all-or-nothing, nothing is cleared before the new build exists).
+    (all-or-nothing, nothing is cleared before the new build exists).  Without explicit
+    bounds the calendar covers the whole years of the purchase dates.
     """
     if gate:
         from ..quality import rule_table as RT
@@ -92,6 +92,9 @@ def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | Non
         when = check_time or _dt.datetime.now()
         RT.dq_gate(RT.evaluate_rules(stg, rules, when), rules, when.date())
     root = root or scratch_path(spark, "star")
+    if date_start is None or date_end is None:
+        lo, hi = star.calendar_range(stg["stg_orders"])
+        date_start, date_end = date_start or lo, date_end or hi
     lk = lookup if lookup is not None else stg.get("category_lookup")
     dims = {
         "dim_date": star.build_dim_date(spark, date_start, date_end),
@@ -132,7 +135,6 @@ def star_from_testdata(spark: SparkSession, sf_dir: str) -> Star:
     if hit is not None:
         return hit
     stg = staging_from_testdata(spark, sf_dir)
-    built = run_pipeline(spark, stg, rate=fixture.FIXTURE_RATE,
-                         date_start=fixture.FIXTURE_DATE_START, date_end=fixture.FIXTURE_DATE_END)
+    built = run_pipeline(spark, stg, rate=fixture.FIXTURE_RATE)
     _CACHE[key] = built
     return built

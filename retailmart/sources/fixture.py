@@ -17,8 +17,6 @@ ORDER_STATUS_MAP = {"F": "delivered", "O": "shipped", "P": "processing"}
 PAYMENT_TYPE_MAP = {"A": "credit_card", "N": "boleto", "R": "voucher"}
 UNMAPPED_CATEGORY = "STANDARD"
 FIXTURE_RATE = Decimal("18.5000")
-FIXTURE_DATE_START = "1995-01-01"
-FIXTURE_DATE_END = "2001-12-31"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -47,8 +47,7 @@ def main():
     builds = []
     for _ in range(2):  # cold (fresh JVM) and warm
         t = time.perf_counter()
-        star = run_pipeline(spark, stg, rate=fixture.FIXTURE_RATE, date_start=fixture.FIXTURE_DATE_START,
-                            date_end=fixture.FIXTURE_DATE_END)
+        star = run_pipeline(spark, stg, rate=fixture.FIXTURE_RATE)
         builds.append(round(time.perf_counter() - t, 3))
     res = {}
     for name, fn in {
