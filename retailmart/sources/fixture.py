@@ -230,7 +230,8 @@ def staging_dirty(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # Job-history tables derived from the event stream (for the monitoring data sets) ---------
 def job_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """jobs, job_runs, job_schedules, schedules: one job per event type, one step run per
-    event (status from the event id, six codes so one is unknown), one schedule per hour."""
+    event (status from the event id, six codes so one is unknown), one schedule per hour of
+    day, and a job attached to every hour in which it has events."""
     ev = table(spark, sf_dir, "events")
     jobs = ev.select(F.col("event_type").alias("job_id")).distinct() \
         .select("job_id", F.concat(F.lit("job_"), F.col("job_id")).alias("name"))
@@ -248,6 +249,5 @@ def job_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     hour = F.hour("ts").cast("int")
     schedules = ev.select(hour.alias("schedule_id")).distinct().select(
         "schedule_id", F.concat(F.lit("Daily_"), F.lpad(F.col("schedule_id").cast("string"), 2, "0"), F.lit("h")).alias("name"))
-    job_schedules = (ev.where(F.col("event_id") % 7 == 0)
-                     .select(F.col("event_type").alias("job_id"), hour.alias("schedule_id")).distinct())
+    job_schedules = ev.select(F.col("event_type").alias("job_id"), hour.alias("schedule_id")).distinct()
     return {"jobs": jobs, "job_runs": runs, "schedules": schedules, "job_schedules": job_schedules}
