@@ -45,7 +45,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
-    spark = get_session(master=f"local[{cpus}]", app="retailmart-bench", shuffle_partitions=max(8, cpus * 2))
+    spark = get_session(master=f"local[{cpus}]", app="retailmart-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)))
 
     # landing (untimed): fixture staging -> Parquet, as the CSV scan would produce it
     root = scratch_path(spark, "bench-staging")

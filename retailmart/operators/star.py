@@ -157,9 +157,13 @@ def build_fact_orders(stg: dict[str, DataFrame], dim_customer: DataFrame, dim_pr
 ORDER_SK_KEY = ["order_id", "order_item_id", "product_sk", "seller_sk", "price_brl", "freight_brl"]
 
 
-def add_order_sk(fact: DataFrame, sample_from: DataFrame | None = None) -> DataFrame:
-    """Dense order_sk in (order_id, order_item_id, product, seller, price, freight) order."""
-    keyed = dense_surrogate_key(fact, ORDER_SK_KEY, "order_sk", sample_from=sample_from,
+def add_order_sk(fact: DataFrame, sample_from: DataFrame | None = None, n_buckets: int | None = None) -> DataFrame:
+    """Dense order_sk in (order_id, order_item_id, product, seller, price, freight) order.
+
+    Buckets are cut on (order_id, order_item_id), so even an order holding a large share of
+    all lines is spread over several buckets.
+    """
+    keyed = dense_surrogate_key(fact, ORDER_SK_KEY, "order_sk", n_buckets=n_buckets, sample_from=sample_from,
                                 bucket_by=["order_id", "order_item_id"])
     cols = ["order_sk"] + [c for c in fact.columns]
     return keyed.select(*cols)
