@@ -85,9 +85,9 @@ def _named() -> dict[str, QueryFn]:
         "dq_date_logic": J.date_logic_checks,
         "dq_pass_rate": J.pass_rate_by_year,
         "dq_rule_table_run": J.rule_table_results,
-        "dq_rule_table_null": lambda s, d: J.rule_table_results(s, d, "NULL_CHECK"),
-        "dq_rule_table_duplicate": lambda s, d: J.rule_table_results(s, d, "DUPLICATE_CHECK"),
-        "dq_rule_table_range": lambda s, d: J.rule_table_results(s, d, "RANGE_CHECK"),
+        "dq_rule_table_null": J.rule_table_null,
+        "dq_rule_table_duplicate": J.rule_table_duplicate,
+        "dq_rule_table_range": J.rule_table_range,
         "dq_results_with_rules": J.rule_table_joined,
         "dq_gate": J.rule_table_gate,
         "dq_monitor": J.rule_table_monitor,

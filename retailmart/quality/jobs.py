@@ -123,6 +123,18 @@ def rule_table_results(spark: SparkSession, sf_dir: str, only: str | None = None
     return RT.evaluate_rules(stg, rules, TEST_CHECK_TIME)
 
 
+def rule_table_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_table_results(spark, sf_dir, RT.NULL_CHECK)
+
+
+def rule_table_duplicate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_table_results(spark, sf_dir, RT.DUPLICATE_CHECK)
+
+
+def rule_table_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_table_results(spark, sf_dir, RT.RANGE_CHECK)
+
+
 def rule_table_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RT.results_with_rules(rule_table_results(spark, sf_dir), RT.rules_frame(spark), TEST_CHECK_TIME.date())
 
