@@ -203,6 +203,11 @@ def run_id_label(ts: _dt.datetime) -> str:
     return "DQ_" + ts.strftime("%Y%m%d_%H%M%S")
 
 
+def run_id_of(ts: ColumnOrName) -> Column:
+    """Column form of ``run_id_label``: 'DQ_yyyyMMdd_HHmmss' of a timestamp column."""
+    return F.concat(F.lit("DQ_"), F.date_format(_c(ts), "yyyyMMdd_HHmmss"))
+
+
 def number_label(n: ColumnOrName, suffix: str) -> Column:
     """'1,234 <suffix>' with thousands separators."""
     return F.concat(F.format_number(_c(n).cast("long"), 0), F.lit(suffix))

@@ -324,3 +324,8 @@ def register_daily_sales_view(star, name: str = "vw_daily_sales") -> DataFrame:
     df = v_daily_sales(star)
     df.createOrReplaceTempView(name)
     return df
+
+
+def materialize_daily_sales(star, path: str) -> None:
+    """The view as a table, partitioned by year (optional materialisation)."""
+    v_daily_sales(star).write.mode("overwrite").partitionBy("year").parquet(path)

@@ -270,7 +270,7 @@ def format_timestamp(spark, sf_dir):
 
 def run_id_label(spark, sf_dir):
     return _orders(spark, sf_dir).select(
-        "order_id", F.concat(F.lit("DQ_"), F.date_format("order_purchase_timestamp", "yyyyMMdd_HHmmss")).alias("run_id"))
+        "order_id", X.run_id_of("order_purchase_timestamp").alias("run_id"))
 
 
 def number_label(spark, sf_dir):

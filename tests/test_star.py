@@ -81,3 +81,13 @@ def test_csv_landing_builds_the_same_fact(spark, star):
     a = built["fact_orders"].select(*[F.col(c).cast("string") for c in cols]).collect()
     b = star["fact_orders"].select(*[F.col(c).cast("string") for c in cols]).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_daily_sales_view_and_table(spark, star):
+    from retailmart.session import scratch_path
+    v = A.register_daily_sales_view(star)
+    n = spark.sql("SELECT count(*) AS n FROM vw_daily_sales").collect()[0]["n"]
+    assert n == v.count() > 0
+    path = scratch_path(spark, "daily-sales")
+    A.materialize_daily_sales(star, path)
+    assert spark.read.parquet(path).count() == n
