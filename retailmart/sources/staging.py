@@ -19,10 +19,19 @@ from ..functions.cleaning import conform
 log = logging.getLogger(__name__)
 
 
+# Tables with free-text fields whose quoted values may span lines.  Such files are parsed
+# whole per file (a file is not split across tasks), so only these tables pay for it.
+MULTILINE_TABLES = frozenset({"stg_reviews"})
+
+
 def scan_csv_staging(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One staging table from a header CSV file (or directory of files)."""
+    """One staging table from a header CSV file (or directory of files).
+
+    RFC 4180 quoting: fields in double quotes, a doubled quote inside is a literal quote.
+    """
     raw = (spark.read.option("header", True).option("inferSchema", False)
-           .option("mode", "PERMISSIVE").option("multiLine", False).csv(path))
+           .option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"')
+           .option("multiLine", table in MULTILINE_TABLES).csv(path))
     return conform(raw, schemas.STAGING[table], schemas.STAGING_ALIASES.get(table))
 
 

@@ -84,3 +84,15 @@ def test_pipeline_gate_stops_on_dirty_staging(spark):
     with pytest.raises(DataQualityGateError):
         run_pipeline(spark, fixture.staging_dirty(spark, SF_SMALL), gate=True,
                      check_time=dt.datetime(2026, 1, 1, 6, 0, 0))
+
+
+def test_review_comments_with_newlines_and_quotes(spark, tmp_path):
+    p = tmp_path / "reviews.csv"
+    p.write_text('review_id,order_id,review_score,review_comment_title,review_comment_message,'
+                 'review_creation_date,review_answer_timestamp\n'
+                 'r1,o1,5,"Great","line one\nline two, with comma and ""quotes""",2018-01-01 00:00:00,2018-01-02 10:00:00\n'
+                 'r2,o2,1,,plain,2018-01-03 00:00:00,\n')
+    rows = {r["review_id"]: r for r in staging.scan_csv_staging(spark, str(p), "stg_reviews").collect()}
+    assert len(rows) == 2
+    assert rows["r1"]["review_comment_message"] == 'line one\nline two, with comma and "quotes"'
+    assert rows["r2"]["review_score"] == 1 and rows["r2"]["review_comment_title"] is None
