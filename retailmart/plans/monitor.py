@@ -43,3 +43,23 @@ def job_schedules(jobs: DataFrame, job_schedules: DataFrame, schedules: DataFram
     j = jobs.where(F.col("name") == job_name).select("job_id", F.col("name").alias("job_name"))
     return (j.join(job_schedules, "job_id").join(schedules, "schedule_id")
             .select("job_name", "schedule_id", "name"))
+
+
+def alert_from_audit(summaries: DataFrame, audit: DataFrame) -> DataFrame:
+    """Alert data of the latest run, when it has critical failures: one row with the run id,
+    the number of critical failures and the newline-joined lines
+    ' table.column [rule] - n rows failed (p% pass rate)'.  No row when nothing to send.
+
+    Only the latest run's rows are joined (one run = one row per rule), so the joined text
+    is bounded by the size of the rule suite.
+    """
+    latest = (summaries.orderBy(F.col("run_date").desc(), F.col("run_id").desc()).limit(1)
+              .where(F.col("critical_fails") > 0).select("run_id"))
+    fails = (audit.join(latest, "run_id", "left_semi")
+             .where((F.col("status") == "FAIL") & (F.col("severity") == "critical")))
+    line = F.concat(F.lit(" "), F.col("table_name"), F.lit("."), F.col("column_name"), F.lit(" ["),
+                    F.col("rule_name"), F.lit("] - "), F.format_number(F.col("failed_records"), 0),
+                    F.lit(" rows failed ("), F.col("pass_rate").cast("string"), F.lit("% pass rate)"))
+    return (fails.select("run_id", "audit_id", line.alias("_line")).groupBy("run_id")
+            .agg(F.count(F.lit(1)).alias("critical_failures"),
+                 F.expr("listagg(_line, '\\n') WITHIN GROUP (ORDER BY audit_id)").alias("body")))

@@ -124,3 +124,19 @@ def test_gate_stops_on_high_failure(spark):
         RT.dq_gate(res, rules, when.date())
     log = RT.dq_monitor(res, rules, when.date(), when).collect()[0]
     assert log["status"] == "FAIL"
+
+
+def test_alert_from_audit_latest_critical_run(spark):
+    from retailmart.plans.monitor import alert_from_audit
+    df = spark.range(0, 100).select((F.col("id") % 10).alias("x"))
+    suite = [TableChecks("t", (NotNull("x", Decimal("100")), ValueRange("x", max_val=5, threshold=Decimal("90"),
+                                                                      severity="critical")))]
+    old = run_checks({"t": df}, suite, "DQ_OLD", dt.datetime(2026, 1, 1))
+    new = run_checks({"t": df}, suite, "DQ_NEW", dt.datetime(2026, 1, 2))
+    audit = old.unionByName(new)
+    summaries = run_summary(audit)
+    rows = alert_from_audit(summaries, audit).collect()
+    assert len(rows) == 1 and rows[0]["run_id"] == "DQ_NEW" and rows[0]["critical_failures"] == 1
+    assert rows[0]["body"] == " t.x [value_range(None, 5)] - 40 rows failed (60.00% pass rate)"
+    clean = run_checks({"t": df}, [TableChecks("t", (NotNull("x"),))], "DQ_CLEAN", dt.datetime(2026, 1, 3))
+    assert alert_from_audit(run_summary(clean), clean).count() == 0
