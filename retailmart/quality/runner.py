@@ -113,12 +113,22 @@ def _details_for(rules_by_seq: dict[int, Rule]) -> Column:
     return expr
 
 
+def exact_status(total: Column, failed: Column, threshold: Column) -> Column:
+    """PASS when the unrounded pass rate reaches the threshold:
+    (total - failed) * 100 >= threshold * max(total, 1), in exact decimal arithmetic."""
+    lhs = ((total - failed) * 100).cast("decimal(38,2)")
+    rhs = (threshold.cast("decimal(38,2)") * F.greatest(total, F.lit(1)).cast("decimal(38,0)")).cast("decimal(38,2)")
+    return F.when(lhs >= rhs, F.lit("PASS")).otherwise(F.lit("FAIL"))
+
+
 def run_checks(tables: dict[str, DataFrame], suite: list[TableChecks], run_id: str | Column,
-               run_date: _dt.datetime | Column, by: list[str] | None = None) -> DataFrame:
+               run_date: _dt.datetime | Column, by: list[str] | None = None, exact: bool = False) -> DataFrame:
     """Audit rows of a whole suite (one row per rule, per ``by`` group).
 
     ``run_id`` / ``run_date`` are values fixed once per run (or Columns built from ``by``),
     never ``current_timestamp()`` inside the plan, so results can be compared and re-run.
+    By default the status compares the stored, rounded pass rate with the threshold (so
+    99.996 % passes a 100 % rule, as in the reference); ``exact=True`` compares unrounded.
     """
     parts, rules_by_seq, seq = [], {}, 1
     for tc in suite:
@@ -134,11 +144,13 @@ def run_checks(tables: dict[str, DataFrame], suite: list[TableChecks], run_id: s
     rid = run_id if isinstance(run_id, Column) else F.lit(run_id)
     rdate = run_date if isinstance(run_date, Column) else ts_ntz(run_date)
     rate = pass_rate(F.col("total_records"), F.col("failed_records"))
+    status = (exact_status(F.col("total_records"), F.col("failed_records"), F.col("threshold")) if exact
+              else status_of(F.col("pass_rate"), F.col("threshold")))
     return (audit
             .withColumn("pass_rate", rate)
             .select(F.col("_seq").cast("long").alias("audit_id"), *(by or []),
                     rid.alias("run_id"), rdate.alias("run_date"), "table_name", "column_name", "rule_name",
-                    "rule_type", "severity", status_of(F.col("pass_rate"), F.col("threshold")).alias("status"),
+                    "rule_type", "severity", status.alias("status"),
                     "total_records", "failed_records", "pass_rate", "threshold",
                     _details_for(rules_by_seq).alias("details")))
 

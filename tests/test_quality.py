@@ -140,3 +140,12 @@ def test_alert_from_audit_latest_critical_run(spark):
     assert rows[0]["body"] == " t.x [value_range(None, 5)] - 40 rows failed (60.00% pass rate)"
     clean = run_checks({"t": df}, [TableChecks("t", (NotNull("x"),))], "DQ_CLEAN", dt.datetime(2026, 1, 3))
     assert alert_from_audit(run_summary(clean), clean).count() == 0
+
+
+def test_exact_mode_fails_a_rounded_pass(spark):
+    df = spark.range(0, 100000).select(F.when(F.col("id") < 4, None).otherwise(F.col("id")).alias("x"))
+    suite = [TableChecks("t", (NotNull("x", Decimal("100")),))]
+    rounded = run_checks({"t": df}, suite, *RUN).collect()[0]
+    exact = run_checks({"t": df}, suite, *RUN, exact=True).collect()[0]
+    assert rounded["pass_rate"] == Decimal("100.00") and rounded["status"] == "PASS"
+    assert exact["pass_rate"] == Decimal("100.00") and exact["status"] == "FAIL"
