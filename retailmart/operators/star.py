@@ -23,7 +23,7 @@ DEFAULT_DATE_END = _dt.date(2019, 12, 31)
 
 def build_dim_date(spark: SparkSession, start=DEFAULT_DATE_START, end=DEFAULT_DATE_END) -> DataFrame:
     """Daily calendar spine start..end inclusive (one row per day)."""
-    start, end = _as_date(start), _as_date(end)
+    start, end = as_date(start), as_date(end)
     days = (end - start).days + 1
     # The spine is generated in parallel from a range, not on the driver.
     n_parts = max(1, min(64, days // 2000 + 1))
@@ -44,7 +44,7 @@ def calendar_range(stg_orders: DataFrame, col: str = "order_purchase_timestamp")
     return _dt.date(row["lo"], 1, 1), _dt.date(row["hi"], 12, 31)
 
 
-def _as_date(v) -> _dt.date:
+def as_date(v) -> _dt.date:
     return v if isinstance(v, _dt.date) else _dt.date.fromisoformat(str(v))
 
 

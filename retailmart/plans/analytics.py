@@ -39,10 +39,20 @@ def _avg_float(col: str, scale: int) -> Column:
     return X.ratio_half_up(F.sum(F.col(col).cast("long")), F.count(col), scale)
 
 
+# A calendar of up to this many days (about 270 years) is broadcast: a few MB at most.
+CALENDAR_BROADCAST_MAX_DAYS = 100_000
+
+
 def _date_dim(star, cols: list[str]) -> DataFrame:
-    # dim_date is one row per calendar day: its size is bounded by the date range
-    # (36,525 rows per century), so broadcasting it is safe at any fact size.
-    return F.broadcast(star["dim_date"].select(*cols))
+    """The calendar columns, broadcast when the star knows the calendar is small.
+
+    The calendar has one row per day of its range, whatever the fact size; the warehouse
+    records that row count when it builds or opens the star.  Without it the join is left
+    to AQE, which broadcasts from the runtime size.
+    """
+    d = star["dim_date"].select(*cols)
+    days = getattr(star, "calendar_days", None)
+    return F.broadcast(d) if days is not None and days <= CALENDAR_BROADCAST_MAX_DAYS else d
 
 
 # Q1 --------------------------------------------------------------------------------

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import FALLBACK_RATE
 from ..operators import star
+from ..operators.star import as_date
 from ..session import checkpoint_dir, scratch_path
 from ..sources import fixture
 
@@ -38,6 +39,7 @@ def _phase(name: str):
 class Star:
     tables: dict[str, DataFrame]
     path: str | None = None
+    calendar_days: int | None = None  # rows of dim_date (bounds its broadcast)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -137,12 +139,14 @@ def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | Non
     with _phase("fact write"):
         _write_table(keyed, root, "fact_orders")
     _publish(spark, root)
-    return read_star(spark, root)
+    return read_star(spark, root, calendar_days=(as_date(date_end) - as_date(date_start)).days + 1)
 
 
-def read_star(spark: SparkSession, root: str) -> Star:
+def read_star(spark: SparkSession, root: str, calendar_days: int | None = None) -> Star:
     tables = {n: spark.read.parquet(f"{root}/{n}") for n in STAR_TABLES}
-    return Star(tables, root)
+    if calendar_days is None:
+        calendar_days = tables["dim_date"].count()  # footer-only count of a small table
+    return Star(tables, root, calendar_days)
 
 
 _CACHE: dict[tuple[str, str], Star] = {}
