@@ -142,6 +142,13 @@ def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | Non
     return read_star(spark, root, calendar_days=(as_date(date_end) - as_date(date_start)).days + 1)
 
 
+def register_star_views(star: Star) -> list[str]:
+    """Expose the star to SQL users: one temp view per table (same names as the tables)."""
+    for name, df in star.tables.items():
+        df.createOrReplaceTempView(name)
+    return list(star.tables)
+
+
 def read_star(spark: SparkSession, root: str, calendar_days: int | None = None) -> Star:
     tables = {n: spark.read.parquet(f"{root}/{n}") for n in STAR_TABLES}
     if calendar_days is None:

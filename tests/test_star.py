@@ -91,3 +91,18 @@ def test_daily_sales_view_and_table(spark, star):
     path = scratch_path(spark, "daily-sales")
     A.materialize_daily_sales(star, path)
     assert spark.read.parquet(path).count() == n
+
+
+def test_star_views_for_sql(spark, star):
+    from retailmart.plans.warehouse import register_star_views
+    register_star_views(star)
+    sql = spark.sql("""
+        SELECT d.year, round(sum(f.price_inr), 2) AS revenue
+        FROM fact_orders f JOIN dim_date d ON f.date_sk = d.date_sk
+        WHERE f.order_status = 'delivered' GROUP BY d.year""")
+    by_year = {r["year"]: float(r["revenue"]) for r in sql.collect()}
+    q1 = A.q01_ytd_revenue(star).collect()
+    last = {}
+    for r in q1:
+        last[r["year"]] = r["ytd_revenue"]
+    assert by_year == last
