@@ -40,8 +40,8 @@ def get_session(master: str | None = None, app: str = "retailmart",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to shared storage.  Only when nothing is
-    set (local tests) a private temporary folder is created and registered.
+    On a cluster this must already be set to shared storage (an error otherwise).  Only
+    in local mode with nothing set (tests) a private temporary folder is created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +49,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage "
+                               "(a machine-local folder is not visible to other executors)")
         conf_dir = tempfile.mkdtemp(prefix="retailmart-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
