@@ -106,3 +106,15 @@ def test_star_views_for_sql(spark, star):
     for r in q1:
         last[r["year"]] = r["ytd_revenue"]
     assert by_year == last
+
+
+def test_unique_order_keys_option(spark, star):
+    from retailmart.plans.warehouse import run_pipeline
+    built = run_pipeline(spark, fixture.staging(spark, SF_SMALL), rate=fixture.FIXTURE_RATE, order_keys="unique")
+    f = built["fact_orders"]
+    r = f.agg(F.count("*").alias("n"), F.countDistinct("order_sk").alias("d"),
+              F.count("order_sk").alias("nn")).collect()[0]
+    assert r["n"] == r["d"] == r["nn"] == star["fact_orders"].count()
+    cols = [c for c in f.columns if c not in ("order_sk", "order_year")]
+    assert (sorted(map(tuple, f.select(*cols).collect()), key=repr)
+            == sorted(map(tuple, star["fact_orders"].select(*cols).collect()), key=repr))
