@@ -63,3 +63,23 @@ def test_alert_line_treats_null_as_empty(spark):
     line = one(spark, X.concat_alert_line(F.lit("t"), F.lit(None).cast("string"), F.lit("NULL_CHECK"),
                                            F.lit(5), F.lit(Decimal("1.25"))))
     assert line == "Table: t | Column:  | Rule: NULL_CHECK | Failed Rows: 5 | Failure %: 1.25"
+
+
+def test_calendar_range_from_orders(spark):
+    from retailmart.operators.star import DEFAULT_DATE_END, DEFAULT_DATE_START, calendar_range
+    o = spark.createDataFrame([("2017-03-04 10:00:00",), ("2018-12-31 23:59:59",), ("bad",)],
+                              "order_purchase_timestamp string")
+    assert calendar_range(o) == (dt.date(2017, 1, 1), dt.date(2018, 12, 31))
+    assert calendar_range(o.where(F.lit(False))) == (DEFAULT_DATE_START, DEFAULT_DATE_END)
+
+
+def test_broadcast_only_below_the_bound(spark):
+    from retailmart.sources.lookup import broadcast_if_small
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+    assert hinted(broadcast_if_small(small, 100))
+    assert not hinted(broadcast_if_small(big, 100))
