@@ -2,8 +2,9 @@
 
 Per table, every scalar rule is one ``count_if`` in a single aggregate (one scan, partial
 aggregation before the shuffle), uniqueness rules are a ``groupBy(col).count()`` each and
-referential-integrity rules reduce the column to (value, count) before an anti join with
-the reference keys, so a hot value is combined map-side and never skews the join.  All
+referential-integrity rules reduce their columns to (value, count) -- all of a table's
+referenced columns in one grouping-sets aggregate -- before an anti join with the
+reference keys, so a hot value is combined map-side and never skews the join.  All
 results are unioned into one small audit frame; only that frame is ever collected.
 
 ``by`` evaluates the same rules once per group (for example one run per load date) in
@@ -59,11 +60,28 @@ def _duplicate_failures(df: DataFrame, rule: Rule, by: list[str], name: str) ->
     return _one_row_per_group(counts.where(F.col("_c") > 1), by, F.sum(F.col("_c") - 1).alias(name))
 
 
-def _orphan_failures(df: DataFrame, ref: DataFrame, rule, by: list[str], name: str) -> DataFrame:
+def _value_counts(df: DataFrame, cols: list[str], by: list[str]) -> dict[str, DataFrame]:
+    """(by..., value, count) per column.  Several columns share one scan and one shuffle:
+    a grouping-sets aggregate with one set per column (map-side combined per set)."""
+    if len(cols) == 1:
+        c = cols[0]
+        return {c: df.groupBy(*by, c).agg(F.count(F.lit(1)).alias("_c"))}
+    sets = [[*by, c] for c in cols]
+    counts = df.groupingSets(sets, *by, *cols).agg(F.count(F.lit(1)).alias("_c"),
+                                                   F.grouping_id().alias("_gid"))
+    n = len(by) + len(cols)
+    out = {}
+    for i, c in enumerate(cols):
+        # grouping_id bit (n-1-k) is set when the k-th grouping column is not in the set
+        gid = sum(1 << (n - 1 - (len(by) + j)) for j in range(len(cols)) if j != i)
+        out[c] = counts.where(F.col("_gid") == gid).select(*by, c, "_c")
+    return out
+
+
+def _orphan_failures(counts: DataFrame, ref: DataFrame, rule, by: list[str], name: str) -> DataFrame:
     """Non-NULL values without a match: the column is first reduced to (value, count), so
     the anti join sees each distinct value once however skewed the column is."""
-    counts = (df.where(F.col(rule.column).isNotNull())
-              .groupBy(*by, rule.column).agg(F.count(F.lit(1)).alias("_c")))
+    counts = counts.where(F.col(rule.column).isNotNull())
     keys = ref.select(F.col(rule.ref_col).alias(rule.column)).where(F.col(rule.column).isNotNull())
     orphans = counts.join(keys, rule.column, "left_anti")
     return _one_row_per_group(orphans, by, F.sum("_c").alias(name))
@@ -85,13 +103,15 @@ def evaluate_table(df: DataFrame, table_name: str, rules, refs: dict[str, DataFr
     aggs = [F.count(F.lit(1)).alias("_total")]
     aggs += [F.count_if(r.failing()).alias(f"_f{s}") for s, r in numbered if r.kind == "scalar"]
     wide = _one_row_per_group(df, by, *aggs)
+    ri_cols = list(dict.fromkeys(r.column for _, r in numbered if r.kind == "ri"))
+    value_counts = _value_counts(df, ri_cols, by) if ri_cols else {}
     for s, r in numbered:
         if r.kind == "duplicates":
             part = _duplicate_failures(df, r, by, f"_f{s}")
         elif r.kind == "ri":
             if refs is None or r.ref_table not in refs:
                 raise KeyError(f"reference table {r.ref_table!r} not supplied")
-            part = _orphan_failures(df, refs[r.ref_table], r, by, f"_f{s}")
+            part = _orphan_failures(value_counts[r.column], refs[r.ref_table], r, by, f"_f{s}")
         else:
             continue
         # both sides hold one row per group: a small join (a one-row cross join without groups)

@@ -149,3 +149,17 @@ def test_exact_mode_fails_a_rounded_pass(spark):
     exact = run_checks({"t": df}, suite, *RUN, exact=True).collect()[0]
     assert rounded["pass_rate"] == Decimal("100.00") and rounded["status"] == "PASS"
     assert exact["pass_rate"] == Decimal("100.00") and exact["status"] == "FAIL"
+
+
+def test_several_integrity_rules_grouped(spark):
+    fact = spark.range(0, 600).select((F.col("id") % 3).alias("g"), (F.col("id") % 50).alias("a"),
+                                      (F.col("id") % 70).alias("b"))
+    refs = {"f": fact, "ra": spark.range(0, 45).withColumnRenamed("id", "a"),
+            "rb": spark.range(0, 60).withColumnRenamed("id", "b")}
+    suite = [TableChecks("f", (ReferentialIntegrity("a", ref_table="ra", ref_col="a"),
+                               ReferentialIntegrity("b", ref_table="rb", ref_col="b")))]
+    got = {(r["g"], r["column_name"]): r["failed_records"] for r in run_checks(refs, suite, *RUN, by=["g"]).collect()}
+    for g in range(3):
+        part = fact.where(F.col("g") == g)
+        assert got[(g, "a")] == part.where("a >= 45").count()
+        assert got[(g, "b")] == part.where("b >= 60").count()
