@@ -8,6 +8,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .aliases import ALIASES
 from .plans import analytics as A
 from .plans import operator_queries as O
 from .quality import jobs as J
@@ -29,7 +30,6 @@ def _on_star(fn, **kw) -> QueryFn:
 def queries() -> dict[str, QueryFn]:
     q = _named()
     q.update({name: getattr(O, name) for name in OPERATOR_QUERIES})
-    from .oracle import ALIASES
     for alias, target in ALIASES.items():
         q[alias] = q[target]
     return q
