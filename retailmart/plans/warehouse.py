@@ -100,14 +100,18 @@ def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | Non
 
     Dimensions are written first and the fact joins the written tables, so their keys are
     computed once and the joins see real sizes.  The fact before numbering is written as
-    Parquet under ``spark.checkpoint.dir`` so the numbering does not recompute the joins.  Everything goes to a new root, published by a marker only when complete
-    (all-or-nothing, nothing is cleared before the new build exists).  Without explicit
-    bounds the calendar covers the whole years of the purchase dates.
+    Parquet under ``spark.checkpoint.dir`` so the numbering does not recompute the joins.
+    Everything goes to a new root, published by a marker only when complete (all-or-nothing,
+    nothing is cleared before the new build exists).  Without explicit bounds the calendar
+    covers the whole years of the purchase dates.
+
     ``order_keys="dense"`` numbers the fact 1..N in business-key order (IDENTITY
     semantics; one extra sort of the fact).  ``"unique"`` gives every line a unique but not
     dense id in the same pass that writes the fact -- for consumers that only need a row
     identity, it saves the lineage-cut write, the counting pass and the numbering sort.
     """
+    if order_keys not in ("dense", "unique"):
+        raise ValueError("order_keys must be 'dense' or 'unique'")
     if gate:
         from ..quality import rule_table as RT
         with _phase("gate"):
@@ -131,10 +135,6 @@ def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | Non
         for f in [pool.submit(lambda n=n, b=b: _write_table(b(), root, n)) for n, b in builders.items()]:
             f.result()
     written = {n: spark.read.parquet(f"{root}/{n}") for n in builders}
-    # Lineage cut: the joined fact is written once as a columnar table in the shared
-    # checkpoint folder; counting and numbering then read only the columns they need.
-    if order_keys not in ("dense", "unique"):
-        raise ValueError("order_keys must be 'dense' or 'unique'")
     if order_keys == "unique":
         with _phase("fact join + write"):
             fact = star.build_fact_orders(stg, written["dim_customer"], written["dim_product"],
@@ -144,6 +144,8 @@ def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | Non
             _write_table(keyed, root, "fact_orders")
         _publish(spark, root)
         return read_star(spark, root, calendar_days=(as_date(date_end) - as_date(date_start)).days + 1)
+    # Lineage cut: the joined fact is written once as a columnar table in the shared
+    # checkpoint folder; counting and numbering then read only the columns they need.
     pre_key = scratch_path(spark, "fact-prekey")
     with _phase("fact join"):
         star.build_fact_orders(stg, written["dim_customer"], written["dim_product"], written["dim_seller"],
