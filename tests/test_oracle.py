@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_ORACLE
+from retailmart import catalog
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = {k: v for k, v in E.oracle_sql().items() if k in QUERIES}
 
 
 def _norm(v):
