@@ -5,26 +5,67 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import chat, exact_dedup, mixing, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(_table(spark, sf_dir, "pages"), warc.archive_folder(spark))
+    records = warc.read_archives(manifest, payloads=False)
+    return records.select(warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                          warc.page_of(F.col("refers_to")).alias("refers_to"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.format_chats(chat.canonical_turns(rows)))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op4_mix_sources": op4_mix_sources,
+    "op6_chat": op6_chat,
+    "op7_token_counts": op7_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
+WARC_SQL = """
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN strlen(body) >= 1000 AND page_id < max(page_id) OVER same THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(body) >= 1000 AND page_id < max(page_id) OVER same THEN max(page_id) OVER same END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS body FROM pages) WINDOW same AS (PARTITION BY body)
+"""
+
+# 24 characters of marks a turn; every backslash and control string inside grows by one
+CHAT_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*)::INTEGER AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(24 + length(role) + length(text) + len(regexp_extract_all(role || chr(10) || text, '\\|<s>|</s>|\[INST\]|\[/INST\]')))::BIGINT AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
 MIX_SQL = r"""
 WITH rows AS (
   SELECT doc_id, source, size,
@@ -57,4 +98,4 @@ FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ',
 WINDOW same AS (PARTITION BY body)
 """
 
-ORACLE = {"op4_mix_sources": MIX_SQL, "op10_exact_dedup": EXACT_SQL}
+ORACLE = {"op1_warc": WARC_SQL, "op6_chat": CHAT_SQL, "op4_mix_sources": MIX_SQL, "op10_exact_dedup": EXACT_SQL}
