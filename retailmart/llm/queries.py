@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, token_counts, warc
+from . import chat, exact_dedup, mixing, sentencepiece_codec, token_counts, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                           warc.page_of(F.col("refers_to")).alias("refers_to"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.round_trip(_table(spark, sf_dir, "documents"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -34,15 +38,25 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = toxicity.fit(docs, labels, usable=~held_out)
+    scores = toxicity.toxicity(docs, model)
+    return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), (F.col("score") >= F.col("threshold")).alias("rejected"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_sentencepiece": op2_sentencepiece,
     "op4_mix_sources": op4_mix_sources,
     "op6_chat": op6_chat,
     "op7_token_counts": op7_token_counts,
+    "op8_toxicity": op8_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
