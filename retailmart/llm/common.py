@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -146,23 +147,37 @@ def run_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.r_[np.flatnonzero(change), table.num_rows]
 
 
-def hooked(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Join the sets of every pair (a, b); True for the pairs whose sets still differed.
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the links (a, b) among ``n`` elements, some that keep all that is connected connected.
 
-    ``parent`` holds the root of every element and is updated.  Pairs that are not flagged
-    are connected by flagged ones, so keeping the flagged ones keeps every connection.
+    In each round every set but the smallest of those linked hooks onto one with a smaller
+    root; fewer than ``n`` links are kept.
     """
-    ra, rb = parent[a], parent[b]
-    new = ra != rb
-    if new.any():
-        np.minimum.at(parent, np.maximum(ra, rb)[new], np.minimum(ra, rb)[new])
-        while True:
-            up = parent[parent]
-            if (up == parent).all():
-                break
-            parent[:] = up
-    return new
-
-
-def packed(values: list[bytes]) -> pa.Array:
-    return pa.array(values, pa.binary())
+    parent, kept = np.arange(n), []
+    while len(a):
+        ra, rb = parent[a], parent[b]
+        live = ra != rb
+        a, b, ra, rb = a[live], b[live], ra[live], rb[live]
+        if not len(a):
+            break
+        high, first = np.unique(np.maximum(ra, rb), return_index=True)
+        kept.append((a[first], b[first]))
+        parent[high] = np.minimum(ra, rb)[first]
+        while not np.array_equal(up := parent[parent], parent):
+            parent = up
+    if not kept:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([x for x, _ in kept]), np.concatenate([x for _, x in kept])
+
+
+def in_blocks(rows: DataFrame, group: list[str], blocks: Column, member: str) -> DataFrame:
+    """Rows dealt to the pairs of blocks of their group: columns ``block``, ``i`` and ``j``.
+
+    A group has ``blocks`` blocks; a member belongs to one by hash and is sent to every pair
+    that has it, so any two members of a group meet in exactly one pair (two of one block in
+    the pair of it with itself) and no task holds more than two blocks.
+    """
+    own = F.pmod(F.xxhash64(member), blocks).cast("int")
+    dealt = rows.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
+    dealt = dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
+    return dealt.repartition(shuffle_partitions(rows), *group, "i", "j").sortWithinPartitions(*group, "i", "j", member)

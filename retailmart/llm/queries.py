@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, sentencepiece_codec, token_counts, toxicity, warc
+from . import chat, embedding_dedup, exact_dedup, minhash_dedup, mixing, sentencepiece_codec, token_counts, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -46,6 +50,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), (F.col("score") >= F.col("threshold")).alias("rejected"))
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -54,9 +62,11 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_sentencepiece": op2_sentencepiece,
     "op4_mix_sources": op4_mix_sources,
+    "op5_minhash": op5_minhash,
     "op6_chat": op6_chat,
     "op7_token_counts": op7_token_counts,
     "op8_toxicity": op8_toxicity,
+    "op9_embeddings": op9_embeddings,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
