@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embedding_dedup, exact_dedup, minhash_dedup, mixing, sentencepiece_codec, token_counts, toxicity, warc
+from . import chat, embedding_dedup, exact_dedup, minhash_dedup, mixing, sentencepiece_codec, suffix_dedup, token_counts, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(_table(spark, sf_dir, "documents"), with_kept=False).drop("kept")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -61,6 +65,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_repeated_passages": op3_repeated_passages,
     "op4_mix_sources": op4_mix_sources,
     "op5_minhash": op5_minhash,
     "op6_chat": op6_chat,
