@@ -21,10 +21,10 @@ UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared checkpoint folder and read again.
 
-    Cuts the lineage: executors lost later cost a read of this table, not its computation.
+    Small row groups bound what a writing task buffers.  Cuts the lineage: executors lost later cost a read of this table, not its computation.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", 16 << 20).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
