@@ -18,32 +18,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Default ceiling on buckets (CASE-tree leaves, depth 12).  The numbering costs one sort of
-# the input spread over this many tasks -- the same as a global ORDER BY with as many
-# partitions -- so at very large inputs raise it with ``n_buckets`` (the tree stays
-# O(log n) per row; past codegen limits Spark evaluates it interpreted).
-_MAX_BUCKETS = 4096
+# Buckets for each shuffle partition and sampled keys for each bucket: several small buckets
+# a partition even out what the sample gets wrong.
+_BUCKETS_PER_PARTITION = 4
 _OVERSAMPLE = 16
-# Up to this many rows are numbered in one sorted task (one bucket): cheaper than the
-# sampling and counting jobs, and bounded, so it cannot grow with the data.
-SINGLE_BUCKET_MAX_ROWS = 200_000
 
 
 def _order_cols(cols: list[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in cols]
 
 
-def _default_buckets(df: DataFrame) -> int:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(n, _MAX_BUCKETS))
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def split_points(source: DataFrame, cols: list[str], n_buckets: int, seed: int = 17,
                  total: int | None = None) -> list[tuple]:
-    """Up to ``n_buckets - 1`` sorted, distinct split keys from a bounded random sample.
+    """Up to ``n_buckets - 1`` sorted, distinct split keys from a random sample.
 
-    The sample is capped at ``n_buckets * 16 * 2`` rows, so the driver receives a bounded
-    amount whatever the table size.
+    About 16 keys a bucket are drawn, whatever the table size; all of them count, so the
+    split points lie evenly even if the sample is larger than expected.
     """
     if n_buckets <= 1:
         return []
@@ -54,7 +48,7 @@ def split_points(source: DataFrame, cols: list[str], n_buckets: int, seed: int =
     target = n_buckets * _OVERSAMPLE
     frac = min(1.0, target / total)
     sample = (src.sample(withReplacement=False, fraction=frac, seed=seed)
-              .orderBy(*_order_cols(cols)).limit(2 * target).collect())
+              .orderBy(*_order_cols(cols)).collect())
     if not sample:
         return []
     step = len(sample) / n_buckets
@@ -127,7 +121,7 @@ def _number(df: DataFrame, order_by: list[str], name: str, n_buckets: int | None
     source = sample_from if sample_from is not None else df
     source_rows = source.count()
     if n_buckets is None:
-        n_buckets = 1 if source_rows <= SINGLE_BUCKET_MAX_ROWS else _default_buckets(df)
+        n_buckets = _BUCKETS_PER_PARTITION * _partitions(df)
     splits = split_points(source, bucket_by, n_buckets, total=source_rows)
     b = "__rm_bucket"
     if len(bucket_by) > 1 and splits:
@@ -147,7 +141,9 @@ def _number(df: DataFrame, order_by: list[str], name: str, n_buckets: int | None
         run += counts.get(i, 0)
     offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(b) + 1)
     w = Window.partitionBy(b).orderBy(*_order_cols(order_by))
-    numbered = bucketed.withColumn(name, F.row_number().over(w).cast("long") + offset).drop(b)
+    # placed by range: hashing would put several buckets on one partition and none on others
+    placed = bucketed.repartitionByRange(min(len(splits) + 1, _partitions(df)), b) if splits else bucketed
+    numbered = placed.withColumn(name, F.row_number().over(w).cast("long") + offset).drop(b)
     return numbered, run
 
 

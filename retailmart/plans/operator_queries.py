@@ -443,7 +443,7 @@ def agg_row_count(spark, sf_dir):
 def win_ntile(spark, sf_dir, k: int = 4):
     """NTILE(4) per customer over (order count, id), cut into 8 order-preserving buckets."""
     counts = A.customer_order_counts(_star(spark, sf_dir))
-    return K.ntile_global(counts, ["total_orders", "customer_unique_id"], k, "order_bucket", n_buckets=8)
+    return K.ntile_global(counts, ["total_orders", "customer_unique_id"], k, "order_bucket")
 
 
 # Star builders ----------------------------------------------------------------------------------
@@ -474,7 +474,7 @@ def translate_category(spark, sf_dir):
 def dense_surrogate_key(spark, sf_dir):
     """Customer keys cut into 8 sampled buckets: must equal row_number() over the key."""
     dim = _stg(spark, sf_dir)["stg_customers"].select("customer_id", "customer_state")
-    return K.dense_surrogate_key(dim, ["customer_id"], "customer_sk", n_buckets=8)
+    return K.dense_surrogate_key(dim, ["customer_id"], "customer_sk")
 
 
 def build_fact_orders(spark, sf_dir):

@@ -55,6 +55,8 @@ def evaluate_rules(tables: dict[str, DataFrame], rules: DataFrame, checked_at: _
     """
     by_table: dict[str, list[tuple[int, str, str]]] = defaultdict(list)
     for r in rules.select("rule_id", "table_name", "column_name", "rule_type").collect():
+        if r["rule_type"] not in (NULL_CHECK, RANGE_CHECK, DUPLICATE_CHECK):
+            raise ValueError(f"rule {r['rule_id']} has an unknown type: {r['rule_type']}")
         by_table[r["table_name"]].append((r["rule_id"], r["column_name"], r["rule_type"]))
     parts = []
     for table, rs in by_table.items():
@@ -71,9 +73,9 @@ def evaluate_rules(tables: dict[str, DataFrame], rules: DataFrame, checked_at: _
             parts.append(wide.select("_total", F.explode(F.array(*entries)).alias("_r")).select("_total", "_r.*"))
         for rid, c, rt in rs:
             if rt == DUPLICATE_CHECK:
-                dup_values = (df.groupBy(c).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1)
-                              .agg(F.count(F.lit(1)).alias("failed_rows")))
-                parts.append(wide.select("_total").crossJoin(dup_values)
+                # one grouping gives the total as well
+                counts = df.groupBy(c).agg(F.count(F.lit(1)).alias("_c"))
+                parts.append(counts.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("_total"), F.count_if(F.col("_c") > 1).alias("failed_rows"))
                              .select("_total", F.lit(rid).alias("rule_id"), "failed_rows"))
     out = parts[0]
     for p in parts[1:]:
@@ -119,6 +121,9 @@ def dq_gate(results: DataFrame, rules: DataFrame, day: _dt.date) -> list[str]:
     """
     rows = (results_with_rules(results, rules, day)
             .orderBy(F.col("status").asc(), "severity", "table_name", "column_name", "rule_type").collect())
+    expected = rules.count()
+    if len(rows) < expected:
+        raise DataQualityGateError(f"Stopping pipeline: {len(rows)} results for {expected} rules on {day}")
     lines, high = [], 0
     for t, c, rt, sev, failed, total, status in rows:
         lines.append(f"{sev} | {t}.{c} | {rt} | Failed: {failed}/{total} | {status}")

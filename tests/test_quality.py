@@ -163,3 +163,20 @@ def test_several_integrity_rules_grouped(spark):
         part = fact.where(F.col("g") == g)
         assert got[(g, "a")] == part.where("a >= 45").count()
         assert got[(g, "b")] == part.where("b >= 60").count()
+
+
+def test_unknown_rule_type_and_missing_results_stop(spark):
+    import datetime as dt
+
+    from retailmart.quality.rule_table import DataQualityGateError, dq_gate, evaluate_rules, rules_frame
+
+    df = spark.createDataFrame([(1,), (1,)], "k int")
+    now = dt.datetime(2020, 1, 1)
+    with pytest.raises(ValueError, match="unknown type"):
+        evaluate_rules({"t": df}, rules_frame(spark, [("t", "k", "NO_SUCH_CHECK", "HIGH")]), now)
+    rules = rules_frame(spark, [("t", "k", "DUPLICATE_CHECK", "LOW")])
+    results = evaluate_rules({"t": df}, rules, now)
+    assert [(r.failed_rows, r.total_rows) for r in results.collect()] == [(1, 2)]
+    assert len(dq_gate(results, rules, now.date())) == 1
+    with pytest.raises(DataQualityGateError, match="0 results for 1 rules"):
+        dq_gate(results, rules, dt.date(2020, 1, 2))
