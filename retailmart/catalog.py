@@ -58,8 +58,7 @@ def _named() -> dict[str, QueryFn]:
         "q01_ytd_revenue": _on_star(A.q01_ytd_revenue),
         "q02_seller_rank_in_state": _on_star(A.q02_seller_rank_in_state),
         "q03_mom_growth": _on_star(A.q03_mom_growth),
-        "q03b_mom_growth_spine": _on_star(A.q03b_mom_growth_spine, start_year=1995, end_year=2001,
-                                          seller_state="NATION_12"),
+        "q03b_mom_growth_spine": _on_star(A.q03b_mom_growth_spine, start_year=1995, end_year=2001),
         "q04_top3_products_per_category": _on_star(A.q04_top3_products_per_category),
         "q05_order_frequency_buckets": _on_star(A.q05_order_frequency_buckets),
         "q06_late_rate_by_state": _on_star(A.q06_late_rate_by_state, min_lines=300),

@@ -82,10 +82,8 @@ def translate_category(df: DataFrame, lookup: DataFrame | None, col: str = "cate
 
 
 def build_dim_product(stg_products: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
-    """DISTINCT product_id, keeping the smallest attribute row for a repeated id."""
-    attrs = F.struct("category_name", "photos_qty", "weight_g")
-    picked = (stg_products.groupBy("product_id").agg(F.min(attrs).alias("_a"))
-              .select("product_id", "_a.category_name", "_a.photos_qty", "_a.weight_g"))
+    """DISTINCT product_id; a repeated id keeps the smallest known (non-null) value of each attribute."""
+    picked = stg_products.groupBy("product_id").agg(*(F.min(c).alias(c) for c in ("category_name", "photos_qty", "weight_g")))
     translated = translate_category(picked, lookup)
     keyed = dense_surrogate_key(translated, ["product_id"], "product_sk")
     return keyed.select("product_sk", "product_id", "category_name", "category_english",
@@ -117,13 +115,17 @@ def build_fact_orders(stg: dict[str, DataFrame], dim_customer: DataFrame, dim_pr
     """
     o_types = dict(stg["stg_orders"].dtypes)
     ts = lambda c: X.to_timestamp_any(c, o_types[c])
+    # an order without a purchase time has no line; a text that is not a time stops the build
+    raw, purchased = F.col("order_purchase_timestamp"), ts("order_purchase_timestamp")
+    if o_types["order_purchase_timestamp"] == "string":
+        purchased = F.when(raw.isNotNull() & purchased.isNull(),
+                           F.raise_error(F.concat(F.lit("purchase time cannot be read: "), raw))).otherwise(purchased)
     orders = (stg["stg_orders"]
               .select("order_id", "customer_id", "order_status",
-                      ts("order_purchase_timestamp").alias("purchased"),
+                      purchased.alias("purchased"),
                       ts("order_delivered_customer_date").alias("delivered"),
                       ts("order_estimated_delivery_date").alias("estimated"))
               .where(F.col("purchased").isNotNull()))
-    # The reference filters on the raw column; a string that does not parse is dropped too.
     cust = dim_customer.select("customer_id", "customer_sk")
     orders_c = orders.join(cust, "customer_id", "inner")
     items = stg["stg_order_items"].select("order_id", "order_item_id", "product_id", "seller_id",

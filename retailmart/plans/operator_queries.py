@@ -235,7 +235,7 @@ def safe_ratio(spark, sf_dir):
 
 
 def _late_per_seller(star):
-    f = (A._delivered(star["fact_orders"]).where(F.col("delivery_days").isNotNull())
+    f = (A.delivered(star["fact_orders"]).where(F.col("delivery_days").isNotNull())
          .groupBy("seller_sk").agg(F.count(F.lit(1)).alias("lines"),
                                    F.sum("is_late_delivery").cast("long").alias("late")))
     return f
@@ -304,7 +304,7 @@ def inject_nulls(spark, sf_dir, n: int = 5):
 
 # Filters ----------------------------------------------------------------------------------------
 def filter_status(spark, sf_dir):
-    return A._delivered(_star(spark, sf_dir)["fact_orders"]).select("order_sk", "order_id", "price_inr")
+    return A.delivered(_star(spark, sf_dir)["fact_orders"]).select("order_sk", "order_id", "price_inr")
 
 
 def filter_null(spark, sf_dir):
@@ -374,11 +374,11 @@ def join_anti_orphans(spark, sf_dir):
 # Aggregates -------------------------------------------------------------------------------------
 def agg_sum_by_keys(spark, sf_dir):
     star = _star(spark, sf_dir)
-    f = A._delivered(star["fact_orders"]).select("seller_sk", "date_sk", "price_inr")
-    d = A._date_dim(star, ["date_sk", "year"])
+    f = A.delivered(star["fact_orders"]).select("seller_sk", "date_sk", "price_inr")
+    d = A.date_dim(star, ["date_sk", "year"])
     s = star["dim_seller"].select("seller_sk", "state")
     return (f.join(d, "date_sk").join(s, "seller_sk").groupBy("state", "year")
-            .agg(A._money(F.sum("price_inr")).alias("revenue"))
+            .agg(A.money(F.sum("price_inr")).alias("revenue"))
             .select("state", F.col("year").cast("long").alias("year"), "revenue"))
 
 
@@ -389,17 +389,17 @@ def agg_count_distinct(spark, sf_dir):
 
 def _by_category(spark, sf_dir):
     star = _star(spark, sf_dir)
-    f = A._delivered(star["fact_orders"])
+    f = A.delivered(star["fact_orders"])
     p = star["dim_product"].select("product_sk", "category_name")
     return f.join(p, "product_sk").groupBy("category_name")
 
 
 def agg_avg_float(spark, sf_dir):
-    return _by_category(spark, sf_dir).agg(A._avg_float("review_score", 2).alias("avg_review"))
+    return _by_category(spark, sf_dir).agg(X.ratio_half_up(F.sum(F.col("review_score").cast("long")), F.count("review_score"), 2).alias("avg_review"))
 
 
 def agg_avg_money(spark, sf_dir):
-    return _by_category(spark, sf_dir).agg(A._avg_money("price_inr").alias("avg_price"))
+    return _by_category(spark, sf_dir).agg(X.ratio_half_up(F.sum("price_inr"), F.count("price_inr"), 2, num_scale=2).alias("avg_price"))
 
 
 def agg_avg_int_truncated(spark, sf_dir):
@@ -409,7 +409,7 @@ def agg_avg_int_truncated(spark, sf_dir):
 def agg_max_date_string(spark, sf_dir):
     star = _star(spark, sf_dir)
     f = star["fact_orders"].select("customer_sk", "date_sk", "payment_type")
-    d = A._date_dim(star, ["date_sk", "full_date"])
+    d = A.date_dim(star, ["date_sk", "full_date"])
     return f.join(d, "date_sk").groupBy("customer_sk").agg(F.max("full_date").alias("last_date"),
                                                            F.max("payment_type").alias("max_payment_type"))
 
@@ -422,8 +422,8 @@ def agg_flag_sum(spark, sf_dir):
 
 
 def agg_global(spark, sf_dir):
-    f = A._delivered(_star(spark, sf_dir)["fact_orders"])
-    return f.agg(A._money(F.sum("price_inr")).alias("total_revenue"), F.count(F.lit(1)).alias("lines"))
+    f = A.delivered(_star(spark, sf_dir)["fact_orders"])
+    return f.agg(A.money(F.sum("price_inr")).alias("total_revenue"), F.count(F.lit(1)).alias("lines"))
 
 
 def agg_distinct_rows(spark, sf_dir):

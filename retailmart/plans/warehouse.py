@@ -1,7 +1,7 @@
 """The warehouse pipeline: staging -> (DQ gate) -> dimensions -> fact, written as Parquet.
 
-``build_star`` returns lazy plans; ``write_star`` materialises them all-or-nothing
-(a new directory per run, published only when every table is written);
+``run_pipeline`` builds all-or-nothing (a new root per run, published by a marker only when
+every table is written); ``read_star`` opens published roots alone;
 ``star_from_testdata`` is the cached entry used by the query catalogue and the bench.
 """
 
@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 from ..functions.scalar import FALLBACK_RATE
 from ..operators import star
 from ..operators.star import as_date
-from ..session import checkpoint_dir, scratch_path
+from ..session import delete_path, path_exists, scratch_path
 from ..sources import fixture
 
 STAR_TABLES = ("dim_date", "dim_customer", "dim_product", "dim_seller", "fact_orders")
+MARKER = "_PUBLISHED"
 log = logging.getLogger(__name__)
 
 
@@ -45,34 +46,6 @@ class Star:
         return self.tables[name]
 
 
-def build_star(spark: SparkSession, stg: dict[str, DataFrame], rate: Decimal = FALLBACK_RATE,
-               date_start=star.DEFAULT_DATE_START, date_end=star.DEFAULT_DATE_END,
-               lookup: DataFrame | None = None, checkpoint_fact: bool = True) -> dict[str, DataFrame]:
-    """All star tables as plans.  The pre-key fact is checkpointed (reliable checkpoint
-    in ``spark.checkpoint.dir``) so that numbering it does not recompute the joins."""
-    dim_customer = star.build_dim_customer(stg["stg_customers"])
-    dim_product = star.build_dim_product(stg["stg_products"], lookup if lookup is not None else stg.get("category_lookup"))
-    dim_seller = star.build_dim_seller(stg["stg_sellers"])
-    dim_date = star.build_dim_date(spark, date_start, date_end)
-    fact = star.build_fact_orders(stg, dim_customer, dim_product, dim_seller, rate, with_order_sk=False)
-    if checkpoint_fact:
-        checkpoint_dir(spark)
-        fact = fact.checkpoint(eager=True)
-    fact = star.add_order_sk(fact, sample_from=stg["stg_order_items"])
-    return {"dim_date": dim_date, "dim_customer": dim_customer, "dim_product": dim_product,
-            "dim_seller": dim_seller, "fact_orders": fact}
-
-
-def write_star(spark: SparkSession, tables: dict[str, DataFrame], root: str | None = None) -> Star:
-    """Write already-built star plans under a fresh root (see ``run_pipeline`` for the
-    ordered build that writes dimensions before the fact reads them)."""
-    root = root or scratch_path(spark, "star")
-    for name, df in tables.items():
-        _write_table(df, root, name)
-    _publish(spark, root)
-    return read_star(spark, root)
-
-
 def _write_table(df: DataFrame, root: str, name: str) -> None:
     if name == "fact_orders":
         # Partitioned by order year: year-bounded queries prune whole directories.  No extra
@@ -90,7 +63,7 @@ def _write_table(df: DataFrame, root: str, name: str) -> None:
 def _publish(spark: SparkSession, root: str) -> None:
     """Marker written last: a root without it is an unfinished build and is never read."""
     spark.createDataFrame([(_dt.datetime.now().isoformat(),)], "published string") \
-        .coalesce(1).write.mode("overwrite").json(f"{root}/_PUBLISHED")
+        .coalesce(1).write.mode("overwrite").json(f"{root}/{MARKER}")
 
 
 def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | None = None,
@@ -119,6 +92,9 @@ def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | Non
             when = check_time or _dt.datetime.now()
             RT.dq_gate(RT.evaluate_rules(stg, rules, when), rules, when.date())
     root = root or scratch_path(spark, "star")
+    if path_exists(spark, f"{root}/{MARKER}"):
+        # tables replaced one by one under the old marker would mix two builds
+        raise FileExistsError(f"{root} holds a published star; build into a new root")
     if date_start is None or date_end is None:
         with _phase("calendar range"):
             lo, hi = star.calendar_range(stg["stg_orders"])
@@ -152,10 +128,11 @@ def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | Non
                                rate, with_order_sk=False).write.parquet(pre_key)
     fact = spark.read.parquet(pre_key)
     with _phase("fact keys"):
-        keyed = star.add_order_sk(fact, sample_from=stg["stg_order_items"])
+        keyed = star.add_order_sk(fact)  # sampled from the written copy: two columns of it
     with _phase("fact write"):
         _write_table(keyed, root, "fact_orders")
     _publish(spark, root)
+    delete_path(spark, pre_key)
     return read_star(spark, root, calendar_days=(as_date(date_end) - as_date(date_start)).days + 1)
 
 
@@ -167,6 +144,8 @@ def register_star_views(star: Star) -> list[str]:
 
 
 def read_star(spark: SparkSession, root: str, calendar_days: int | None = None) -> Star:
+    if not path_exists(spark, f"{root}/{MARKER}"):
+        raise FileNotFoundError(f"{root} holds no published star (its build has not finished)")
     tables = {n: spark.read.parquet(f"{root}/{n}") for n in STAR_TABLES}
     if calendar_days is None:
         calendar_days = tables["dim_date"].count()  # footer-only count of a small table

@@ -35,12 +35,15 @@ def rate_lookup_fallback(spark: SparkSession, rates: DataFrame | None = None, cc
     """One-row frame with the conversion rate: the table's rate if present, else the fallback.
 
     Replaces the live HTTP lookup: the rate comes from a ``rates(ccy_from, ccy_to, rate)``
-    table that any loader can fill.  Never a double: decimal(12,6).  The result is a
+    table that any loader can fill.  Never a double: decimal(12,6).  Two different rates for
+    the pair are an error, as nothing here says which one holds.  The result is a
     single row by construction (a global aggregate), so it can be broadcast safely.
     """
     fb = F.lit(Decimal(fallback)).cast("decimal(12,6)")
     if rates is None:
         return spark.range(1).select(fb.alias("rate"))
     found = (rates.where((F.col("ccy_from") == ccy_from) & (F.col("ccy_to") == ccy_to))
-             .agg(F.max(F.col("rate").cast("decimal(12,6)")).alias("rate")))
+             .select(F.col("rate").cast("decimal(12,6)").alias("rate"))
+             .agg(F.when(F.min("rate") != F.max("rate"), F.raise_error(F.lit("several rates for one pair of currencies")))
+                  .otherwise(F.max("rate")).alias("rate")))
     return found.select(F.coalesce(F.col("rate"), fb).alias("rate"))

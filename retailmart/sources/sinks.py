@@ -1,7 +1,7 @@
 """Sinks: full refresh, append, replace one day's partition.
 
 Writes are distributed (one file set per task); all-or-nothing publication of a whole
-warehouse build is done by writing to a new root (``plans.warehouse.write_star``).
+warehouse build is done by writing to a new root (``plans.warehouse.run_pipeline``).
 """
 
 from __future__ import annotations

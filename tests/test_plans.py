@@ -42,3 +42,23 @@ def test_ntile_query_never_gathers_customers(star):
 def test_status_filter_is_pushed_to_the_scan(star):
     p = plan(A.q02_seller_rank_in_state(star))
     assert "EqualTo(order_status,delivered)" in p
+
+
+@pytest.mark.parametrize("query", [A.q02_seller_rank_in_state, A.q04_top3_products_per_category, A.q05_order_frequency_buckets,
+                                   A.q06_late_rate_by_state, A.q07_above_average_customers, A.q08_category_contribution])
+def test_lines_are_combined_before_they_meet_a_dimension(star, query):
+    # every path from a join down to the fact scan passes an aggregate
+    tree = query(star)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    scans = 0
+    for i, line in enumerate(tree):
+        if "Relation" in line and "order_sk" in line:
+            scans += 1
+            above, d = [], depth(line)
+            for up in reversed(tree[:i]):
+                if depth(up) < d:
+                    above.append(up.strip(" :+-"))
+                    d = depth(up)
+            join = next(k for k, u in enumerate(above) if u.startswith("Join"))
+            assert any(u.startswith("Aggregate") for u in above[:join])
+    assert scans

@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from retailmart.operators import star as S
 from retailmart.operators.star import ORDER_SK_KEY, add_order_sk
 from retailmart.plans import analytics as A
 from retailmart.plans.warehouse import star_from_testdata
@@ -118,3 +119,39 @@ def test_unique_order_keys_option(spark, star):
     cols = [c for c in f.columns if c not in ("order_sk", "order_year")]
     assert (sorted(map(tuple, f.select(*cols).collect()), key=repr)
             == sorted(map(tuple, star["fact_orders"].select(*cols).collect()), key=repr))
+
+
+def test_published_root_is_not_rebuilt_and_unfinished_root_is_not_read(spark, tmp_path):
+    from retailmart.plans.warehouse import read_star, run_pipeline
+    root, stg = str(tmp_path / "star"), fixture.staging(spark, SF_SMALL)
+    built = run_pipeline(spark, stg, root=root, rate=fixture.FIXTURE_RATE)
+    lines = built["fact_orders"].count()
+    with pytest.raises(FileExistsError):
+        run_pipeline(spark, {**stg, "stg_customers": stg["stg_customers"].limit(3)}, root=root)
+    assert read_star(spark, root)["fact_orders"].count() == lines
+    (tmp_path / "begun").mkdir()
+    with pytest.raises(FileNotFoundError):
+        read_star(spark, str(tmp_path / "begun"))
+
+
+def test_unreadable_purchase_time_stops_the_fact(spark):
+    stg = fixture.staging(spark, SF_SMALL)
+    text = F.col("order_purchase_timestamp").cast("string")
+    first = F.col("order_id") == stg["stg_orders"].agg(F.min("order_id")).first()[0]
+
+    def fact(value):
+        orders = stg["stg_orders"].withColumn("order_purchase_timestamp", F.when(first, F.lit(value)).otherwise(text))
+        dims = [S.build_dim_customer(stg["stg_customers"]), S.build_dim_product(stg["stg_products"], stg.get("category_lookup")),
+                S.build_dim_seller(stg["stg_sellers"])]
+        return S.build_fact_orders({**stg, "stg_orders": orders}, *dims, with_order_sk=False)
+
+    assert fact(None).where(first).count() == 0
+    with pytest.raises(Exception, match="purchase time cannot be read"):
+        fact("01/02/2018 10:00").collect()
+
+
+def test_repeated_product_keeps_known_attributes(spark):
+    rows = [("p", None, None, None), ("p", "toys", 3, 10), ("q", None, None, None)]
+    got = S.build_dim_product(spark.createDataFrame(rows, "product_id string, category_name string, photos_qty int, weight_g int"),
+                              spark.createDataFrame([("toys", "Toys")], "product_category_name string, product_category_name_english string"))
+    assert [tuple(r)[1:] for r in got.orderBy("product_id").collect()] == [("p", "toys", "Toys", 3, 10), ("q", None, None, None, None)]
