@@ -1,4 +1,7 @@
-"""Inventory keys answered by a named query they are part of (same plan, same oracle)."""
+"""Inventory keys answered by a named query they are part of.
+
+Same plan, same oracle: an alias names where an operator is used and is no check of its own.
+"""
 
 ALIASES = {
     "join_cross_scalar": "q08_category_contribution",
@@ -18,9 +21,6 @@ ALIASES = {
     "win_dense_rank_topn": "q04_top3_products_per_category",
     "win_running_sum_global": "q08_category_contribution",
     "sort_multi_key": "q02_seller_rank_in_state",
-    "topk_fixed": "q08_category_contribution",
     "topk_param": "q10_seller_performance",
-    "topk_latest_runs": "mon_dq_history",
-    "topk_latest_failures": "mon_latest_failures",
     "union_results": "dq_suite",
 }

@@ -37,8 +37,9 @@ def queries() -> dict[str, QueryFn]:
 
 # Operator-level queries (functions of the same name in plans.operator_queries).
 OPERATOR_QUERIES = [
-    "scan_csv_staging", "scan_missing_optional", "scan_category_lookup", "sink_staging_overwrite",
-    "sink_reload_table", "sink_append_audit", "sink_replace_day", "rate_lookup_fallback", "values_rows",
+    "scan_csv_staging", "scan_csv_orders", "scan_csv_customers", "scan_csv_products", "scan_csv_sellers",
+    "scan_csv_payments", "scan_csv_reviews", "scan_missing_optional", "scan_category_lookup", "sink_staging_overwrite",
+    "sink_reload_table", "sink_reload_fact", "rate_lookup_table", "sink_append_audit", "sink_replace_day", "rate_lookup_fallback", "values_rows",
     "normalize_columns", "nan_inf_to_null", "coerce_numeric", "date_key", "currency_convert", "null_default",
     "delivery_days", "late_flag", "segment_case", "recency_days", "status_decode", "calendar_fields",
     "safe_ratio", "pct_decimal", "int_pct_truncated", "type_casts", "year_of_date_key", "format_timestamp",
@@ -96,5 +97,12 @@ def _named() -> dict[str, QueryFn]:
         "mon_dq_history": J.monitor_dq_history,
         "mon_latest_failures": J.monitor_latest_failures,
         "dq_history_runs": J.history_runs,
+        "dq_run_job": J.dq_run_job,
+        "mon_audit_alert": J.monitor_audit_alert,
+        # top-k below the number of rows, so that the cut shows
+        "topk_fixed": _on_star(A.q08_category_contribution, top=3),
+        "topk_latest_runs": lambda spark, sf_dir: J.monitor_dq_history(spark, sf_dir, last_n=3),
+        "topk_latest_failures": lambda spark, sf_dir: J.monitor_latest_failures(spark, sf_dir, n=3),
+        "q03b_mom_growth_spine_state": _on_star(A.q03b_mom_growth_spine, start_year=1995, end_year=2001, seller_state="NATION_12"),
         "filter_vs_scalar_agg": _on_star(A.q07_above_average_customers),
     }

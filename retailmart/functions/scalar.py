@@ -208,6 +208,15 @@ def run_id_of(ts: ColumnOrName) -> Column:
     return F.concat(F.lit("DQ_"), F.date_format(_c(ts), "yyyyMMdd_HHmmss"))
 
 
+def stored_id(ts: ColumnOrName, seq: ColumnOrName) -> Column:
+    """Id of row ``seq`` of the run at ``ts``: unique over appended runs, as a run id holds its
+    second and a run has under a million rows.  Wall-clock arithmetic: no time zone is involved."""
+    t = _c(ts)
+    days = F.datediff(F.to_date(t), F.lit(_dt.date(1970, 1, 1))).cast("long")
+    seconds = days * 86400 + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    return seconds * 1_000_000 + _c(seq).cast("long")
+
+
 def number_label(n: ColumnOrName, suffix: str) -> Column:
     """'1,234 <suffix>' with thousands separators."""
     return F.concat(F.format_number(_c(n).cast("long"), 0), F.lit(suffix))

@@ -24,7 +24,7 @@ from ..quality import rule_table as RT
 from ..session import scratch_path
 from ..sources import fixture, lookup, sinks, staging
 from . import analytics as A
-from .warehouse import read_star, run_pipeline, star_from_testdata
+from .warehouse import JOB_LOG, RESULTS, STAR_TABLES, read_star, run_pipeline, star_from_testdata
 
 FACT_COLS = A.FACT_COLS
 
@@ -38,12 +38,43 @@ def _stg(spark, sf_dir):
 
 
 # Sources and sinks -----------------------------------------------------------------------------
+def _landed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Land one staging table as CSV and scan it back with the declared staging schema; the
+    times, which staging keeps as text, are read as times."""
+    path = scratch_path(spark, "csv_" + table)
+    source = _stg(spark, sf_dir)[table]
+    raw_names = {v: k for k, v in schemas.STAGING_ALIASES.get(table, {}).items()}
+    source.withColumnsRenamed(raw_names).write.option("header", True).option("escape", '"').csv(path)
+    df = staging.scan_csv_staging(spark, path, table)
+    return df.withColumns({c: X.to_timestamp_any(c, "string") for c, t in source.dtypes if t.startswith("timestamp")})
+
+
 def scan_csv_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the order items as CSV, scan them back with the declared staging schema."""
-    path = scratch_path(spark, "csv_items")
-    _stg(spark, sf_dir)["stg_order_items"].write.option("header", True).csv(path)
-    df = staging.scan_csv_staging(spark, path, "stg_order_items")
-    return df.withColumn("shipping_limit_date", X.to_timestamp_any("shipping_limit_date", "string"))
+    return _landed(spark, sf_dir, "stg_order_items")
+
+
+def scan_csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, "stg_orders")
+
+
+def scan_csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, "stg_customers")
+
+
+def scan_csv_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, "stg_products")
+
+
+def scan_csv_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, "stg_sellers")
+
+
+def scan_csv_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, "stg_payments")
+
+
+def scan_csv_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, "stg_reviews")
 
 
 def scan_missing_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,12 +121,20 @@ def sink_reload_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def sink_reload_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reloading the partitioned fact twice leaves one copy."""
+    path = scratch_path(spark, "fact_orders")
+    df = _star(spark, sf_dir)["fact_orders"]
+    sinks.sink_reload_table(df, path, partition_by=["order_year"])
+    sinks.sink_reload_table(df, path, partition_by=["order_year"])
+    return spark.read.parquet(path).select(*FACT_COLS)
+
+
 def sink_append_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Appending an audit run twice keeps both copies."""
+    """Two runs, a day apart, appended: both are kept and no id repeats."""
     path = scratch_path(spark, "dq_audit")
-    audit = J.not_null_checks(spark, sf_dir)
-    sinks.sink_append_audit(audit, path)
-    sinks.sink_append_audit(audit, path)
+    for started in J.TWO_RUNS:
+        sinks.sink_append_audit(J.not_null_checks(spark, sf_dir, started), path)
     return spark.read.parquet(path)
 
 
@@ -121,7 +160,17 @@ def rate_lookup_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = spark.createDataFrame([], schemas.RATES)
     rate = lookup.rate_lookup_fallback(spark, rates)
     items = _stg(spark, sf_dir)["stg_order_items"]
-    return (items.crossJoin(F.broadcast(rate))  # one-row side
+    return (items.crossJoin(rate)  # one-row side
+            .select("order_id", "order_item_id", "price",
+                    X.currency_convert("price", F.col("rate")).alias("price_inr")))
+
+
+def rate_lookup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices converted with a rate that the table holds, beside that of another pair."""
+    rates = spark.createDataFrame([("BRL", "INR", Decimal("16.25")), ("USD", "INR", Decimal("83.1"))], schemas.RATES)
+    rate = lookup.rate_lookup_fallback(spark, rates)
+    items = _stg(spark, sf_dir)["stg_order_items"]
+    return (items.crossJoin(rate)  # one-row side
             .select("order_id", "order_item_id", "price",
                     X.currency_convert("price", F.col("rate")).alias("price_inr")))
 
@@ -281,7 +330,7 @@ def number_label(spark, sf_dir):
 def concat_alert_line(spark, sf_dir):
     res = J.rule_table_results(spark, sf_dir)
     rules = RT.rules_frame(spark)
-    r = res.join(F.broadcast(rules), "rule_id")
+    r = res.join(rules, "rule_id")
     return r.select("rule_id", X.concat_alert_line(F.col("table_name"), F.col("column_name"), F.col("rule_type"),
                                                    F.col("failed_rows"), F.col("failure_pct")).alias("line"))
 
@@ -296,8 +345,7 @@ def inject_nulls(spark, sf_dir, n: int = 5):
     o = _orders(spark, sf_dir).select("order_id", "customer_id", "order_status")
     victims = o.where(F.col("order_id").isNotNull()).select("order_id").orderBy("order_id").limit(n) \
         .withColumn("_hit", F.lit(True))
-    # n is a small constant: the victim list is a top-n, broadcast by construction
-    return (o.join(F.broadcast(victims), "order_id", "left")
+    return (o.join(victims, "order_id", "left")
             .select(F.when(F.col("_hit"), F.lit(None).cast("long")).otherwise(F.col("order_id")).alias("order_id"),
                     "customer_id", "order_status"))
 
@@ -441,7 +489,7 @@ def agg_row_count(spark, sf_dir):
 
 # Windows ----------------------------------------------------------------------------------------
 def win_ntile(spark, sf_dir, k: int = 4):
-    """NTILE(4) per customer over (order count, id), cut into 8 order-preserving buckets."""
+    """NTILE(4) per customer over (order count, id), cut into order-preserving buckets."""
     counts = A.customer_order_counts(_star(spark, sf_dir))
     return K.ntile_global(counts, ["total_orders", "customer_unique_id"], k, "order_bucket")
 
@@ -472,7 +520,7 @@ def translate_category(spark, sf_dir):
 
 
 def dense_surrogate_key(spark, sf_dir):
-    """Customer keys cut into 8 sampled buckets: must equal row_number() over the key."""
+    """Customer keys cut into sampled buckets: must equal row_number() over the key."""
     dim = _stg(spark, sf_dir)["stg_customers"].select("customer_id", "customer_state")
     return K.dense_surrogate_key(dim, ["customer_id"], "customer_sk")
 
@@ -482,13 +530,19 @@ def build_fact_orders(spark, sf_dir):
 
 
 def clear_and_rebuild(spark, sf_dir):
-    """Whole pipeline (DQ gate, dimensions, fact) into a fresh root; report the row count
-    of every published table."""
+    """Whole pipeline (rate from its table, landing, DQ gate, dimensions, fact) into a fresh
+    root: the row count of every published table, and the stored result of every rule."""
     stg = _stg(spark, sf_dir)
-    built = run_pipeline(spark, stg, rate=fixture.FIXTURE_RATE, gate=True, check_time=J.TEST_CHECK_TIME)
+    rates = spark.createDataFrame([("BRL", "INR", fixture.FIXTURE_RATE)], schemas.RATES)
+    built = run_pipeline(spark, stg, rates=rates, check_time=J.TEST_CHECK_TIME)
     star = read_star(spark, built.path)
     out = None
-    for n in ["dim_date", "dim_customer", "dim_product", "dim_seller", "fact_orders"]:
-        c = star[n].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+    for n in STAR_TABLES:
+        c = star[n].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("name"), "row_count", F.lit("BUILT").alias("status"))
         out = c if out is None else out.unionByName(c)
-    return out
+    results = RT.results_with_rules(spark.read.schema(schemas.DQ_RESULTS).parquet(f"{built.path}/{RESULTS}"),
+                                    RT.rules_frame(spark), J.TEST_CHECK_TIME.date())
+    name = F.concat_ws(".", "table_name", "column_name", "rule_type")
+    jobs = spark.read.schema(schemas.ETL_JOB_LOG).parquet(f"{built.path}/{JOB_LOG}")
+    return (out.unionByName(results.select(name.alias("name"), F.col("total_rows").alias("row_count"), "status"))
+            .unionByName(jobs.select(F.col("job_name").alias("name"), F.lit(None).cast("long").alias("row_count"), "status")))

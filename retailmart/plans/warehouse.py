@@ -1,4 +1,4 @@
-"""The warehouse pipeline: staging -> (DQ gate) -> dimensions -> fact, written as Parquet.
+"""The warehouse pipeline: staging -> DQ gate -> dimensions -> fact, written as Parquet.
 
 ``run_pipeline`` builds all-or-nothing (a new root per run, published by a marker only when
 every table is written); ``read_star`` opens published roots alone;
@@ -18,14 +18,17 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import FALLBACK_RATE
+from .. import schemas
 from ..operators import star
 from ..operators.star import as_date
 from ..session import delete_path, path_exists, scratch_path
 from ..sources import fixture
+from ..sources.lookup import rate_lookup_fallback
+from ..sources.sinks import sink_append, sink_replace_day, sink_staging_overwrite
 
 STAR_TABLES = ("dim_date", "dim_customer", "dim_product", "dim_seller", "fact_orders")
 MARKER = "_PUBLISHED"
+RESULTS, JOB_LOG = "quality/dq_results", "quality/etl_job_log"  # under the root of a build
 log = logging.getLogger(__name__)
 
 
@@ -66,17 +69,45 @@ def _publish(spark: SparkSession, root: str) -> None:
         .coalesce(1).write.mode("overwrite").json(f"{root}/{MARKER}")
 
 
+def _land(stg: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """Staging written once as Parquet, so that later phases neither parse nor join it again."""
+    def write(item):
+        name, df = item
+        sink_staging_overwrite(df, f"{root}/staging/{name}")
+        return name, df.sparkSession.read.parquet(f"{root}/staging/{name}")
+    with ThreadPoolExecutor(max_workers=max(1, len(stg))) as pool:
+        return dict(pool.map(write, stg.items()))
+
+
+def _gate(spark: SparkSession, stg: dict[str, DataFrame], root: str, when: _dt.datetime) -> None:
+    """Rules evaluated once; results and job-log row are stored whether or not the gate stops."""
+    from ..quality import rule_table as RT
+    rules = RT.rules_frame(spark)
+    sink_replace_day(RT.evaluate_rules(stg, rules, when), f"{root}/{RESULTS}")
+    results = spark.read.schema(schemas.DQ_RESULTS).parquet(f"{root}/{RESULTS}")
+    sink_append(RT.dq_monitor(results, rules, when.date(), when), f"{root}/{JOB_LOG}")
+    for line in RT.dq_gate(results, rules, when.date()):
+        log.info(line)
+
+
 def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | None = None,
-                 rate: Decimal = FALLBACK_RATE, date_start=None, date_end=None, lookup: DataFrame | None = None,
-                 gate: bool = False, check_time: _dt.datetime | None = None, order_keys: str = "dense") -> Star:
-    """Staging -> (optional DQ gate) -> dimensions (written) -> fact (written) -> publish.
+                 rate: Decimal | None = None, date_start=None, date_end=None, lookup: DataFrame | None = None,
+                 gate: bool = True, check_time: _dt.datetime | None = None, order_keys: str = "dense",
+                 rates: DataFrame | None = None, land: bool = True, registry: str | None = None) -> Star:
+    """Rate -> landing -> DQ gate -> dimensions (written) -> fact (written) -> publish.
+
+    The rate is ``rate``, else that of the ``rates`` table, else the fallback.  Staging is
+    landed as Parquet under the root (``land=False`` for frames that already are tables), the
+    gate's results and job log are stored there, and a HIGH failure stops the build before any
+    table is written.  ``registry`` names a table to which the published root is added.
 
     Dimensions are written first and the fact joins the written tables, so their keys are
     computed once and the joins see real sizes.  The fact before numbering is written as
     Parquet under ``spark.checkpoint.dir`` so the numbering does not recompute the joins.
     Everything goes to a new root, published by a marker only when complete (all-or-nothing,
-    nothing is cleared before the new build exists).  Without explicit bounds the calendar
-    covers the whole years of the purchase dates.
+    nothing is cleared before the new build exists); the tables of a build that failed are
+    removed, its quality results stay.  Without explicit bounds the calendar covers the whole
+    years of the purchase dates.
 
     ``order_keys="dense"`` numbers the fact 1..N in business-key order (IDENTITY
     semantics; one extra sort of the fact).  ``"unique"`` gives every line a unique but not
@@ -85,16 +116,36 @@ def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | Non
     """
     if order_keys not in ("dense", "unique"):
         raise ValueError("order_keys must be 'dense' or 'unique'")
-    if gate:
-        from ..quality import rule_table as RT
-        with _phase("gate"):
-            rules = RT.rules_frame(spark)
-            when = check_time or _dt.datetime.now()
-            RT.dq_gate(RT.evaluate_rules(stg, rules, when), rules, when.date())
     root = root or scratch_path(spark, "star")
     if path_exists(spark, f"{root}/{MARKER}"):
         # tables replaced one by one under the old marker would mix two builds
         raise FileExistsError(f"{root} holds a published star; build into a new root")
+    if rate is None:
+        rate = rate_lookup_fallback(spark, rates).first()["rate"]
+    pre_key = scratch_path(spark, "fact-prekey")
+    try:
+        if land:
+            with _phase("landing"):
+                stg = _land(stg, root)
+        if gate:
+            with _phase("gate"):
+                _gate(spark, stg, root, check_time or _dt.datetime.now())
+        days = _write_star(spark, stg, root, pre_key, rate, date_start, date_end, lookup, order_keys)
+    except BaseException:
+        for name in (*STAR_TABLES, *(["staging"] if land else [])):
+            delete_path(spark, f"{root}/{name}")
+        raise
+    finally:
+        delete_path(spark, pre_key)
+    _publish(spark, root)
+    if registry is not None:
+        sink_append(spark.createDataFrame([(root, _dt.datetime.now())], "root string, published timestamp_ntz"), registry)
+    return read_star(spark, root, calendar_days=days)
+
+
+def _write_star(spark: SparkSession, stg: dict[str, DataFrame], root: str, pre_key: str, rate: Decimal,
+                date_start, date_end, lookup: DataFrame | None, order_keys: str) -> int:
+    """Write the five tables; returns the number of calendar days."""
     if date_start is None or date_end is None:
         with _phase("calendar range"):
             lo, hi = star.calendar_range(stg["stg_orders"])
@@ -111,29 +162,30 @@ def run_pipeline(spark: SparkSession, stg: dict[str, DataFrame], root: str | Non
         for f in [pool.submit(lambda n=n, b=b: _write_table(b(), root, n)) for n, b in builders.items()]:
             f.result()
     written = {n: spark.read.parquet(f"{root}/{n}") for n in builders}
+    days = (as_date(date_end) - as_date(date_start)).days + 1
+    fact = star.build_fact_orders(stg, written["dim_customer"], written["dim_product"], written["dim_seller"],
+                                  rate, with_order_sk=False)
     if order_keys == "unique":
         with _phase("fact join + write"):
-            fact = star.build_fact_orders(stg, written["dim_customer"], written["dim_product"],
-                                          written["dim_seller"], rate, with_order_sk=False)
             # unique within the committed output: partition index in the high bits
             keyed = fact.select((F.monotonically_increasing_id() + 1).alias("order_sk"), *fact.columns)
             _write_table(keyed, root, "fact_orders")
-        _publish(spark, root)
-        return read_star(spark, root, calendar_days=(as_date(date_end) - as_date(date_start)).days + 1)
+        return days
     # Lineage cut: the joined fact is written once as a columnar table in the shared
     # checkpoint folder; counting and numbering then read only the columns they need.
-    pre_key = scratch_path(spark, "fact-prekey")
     with _phase("fact join"):
-        star.build_fact_orders(stg, written["dim_customer"], written["dim_product"], written["dim_seller"],
-                               rate, with_order_sk=False).write.parquet(pre_key)
-    fact = spark.read.parquet(pre_key)
+        fact.write.parquet(pre_key)
     with _phase("fact keys"):
-        keyed = star.add_order_sk(fact)  # sampled from the written copy: two columns of it
+        keyed = star.add_order_sk(spark.read.parquet(pre_key))  # sampled from the written copy: two columns of it
     with _phase("fact write"):
         _write_table(keyed, root, "fact_orders")
-    _publish(spark, root)
-    delete_path(spark, pre_key)
-    return read_star(spark, root, calendar_days=(as_date(date_end) - as_date(date_start)).days + 1)
+    return days
+
+
+def current_star(spark: SparkSession, registry: str) -> Star:
+    """The star published last, by the table of published roots (one row a build)."""
+    row = spark.read.parquet(registry).agg(F.max_by("root", "published").alias("root")).first()
+    return read_star(spark, row["root"])
 
 
 def register_star_views(star: Star) -> list[str]:

@@ -14,20 +14,23 @@ from pyspark.sql import functions as F
 
 from ..plans.warehouse import star_from_testdata
 from ..sources import fixture
+from ..functions.scalar import run_id_label
+from ..session import scratch_path
 from . import rule_table as RT
 from .rules import (CRITICAL, WARNING, AllowedValues, DateLogic, NoDuplicates, NotNull, ORDER_STATUSES,
                     ReferentialIntegrity, TableChecks, ValueRange, default_suite)
-from .runner import run_checks, run_summary
+from .runner import read_audit, read_summary, run_checks, run_job, run_summary, store_audit
 
 # Fixed run identity for reproducible test runs (a real run passes its own).
 TEST_RUN_ID = "DQ_20260419_172441"
 TEST_RUN_DATE = _dt.datetime(2026, 4, 19, 17, 24, 41)
 TEST_CHECK_TIME = _dt.datetime(2026, 4, 19, 6, 0, 0)
+TWO_RUNS = (TEST_RUN_DATE, TEST_RUN_DATE + _dt.timedelta(days=1))
 D = Decimal
 
 
-def _run(tables, suite, by=None):
-    return run_checks(tables, suite, TEST_RUN_ID, TEST_RUN_DATE, by)
+def _run(tables, suite, by=None, started=TEST_RUN_DATE):
+    return run_checks(tables, suite, run_id_label(started), started, by)
 
 
 def suite_on_star(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,14 +43,20 @@ def suite_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_summary(suite_on_star(spark, sf_dir))
 
 
-def not_null_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+NOT_NULL_SUITE = [
+    TableChecks("orders_dirty", (NotNull("order_id", D("100.0")), NotNull("order_status", D("95.0"), WARNING),
+                                 NotNull("customer_id", D("100.0")))),
+    TableChecks("orders_empty", (NotNull("order_id", D("100.0")),)),
+]
+
+
+def _not_null_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     od = fixture.orders_dirty(spark, sf_dir)
-    tables = {"orders_dirty": od, "orders_empty": fixture.empty_like(od)}
-    return _run(tables, [
-        TableChecks("orders_dirty", (NotNull("order_id", D("100.0")), NotNull("order_status", D("95.0"), WARNING),
-                                     NotNull("customer_id", D("100.0")))),
-        TableChecks("orders_empty", (NotNull("order_id", D("100.0")),)),
-    ])
+    return {"orders_dirty": od, "orders_empty": fixture.empty_like(od)}
+
+
+def not_null_checks(spark: SparkSession, sf_dir: str, started: _dt.datetime = TEST_RUN_DATE) -> DataFrame:
+    return _run(_not_null_tables(spark, sf_dir), NOT_NULL_SUITE, started=started)
 
 
 def duplicate_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,11 +174,46 @@ def monitor_job_schedules(spark: SparkSession, sf_dir: str, job_name: str = "job
     return job_schedules(t["jobs"], t["job_schedules"], t["schedules"], job_name)
 
 
+_HISTORY: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def stored_history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Stored audit and summary of the yearly runs (written once per application and data set)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _HISTORY:
+        paths = scratch_path(spark, "dq_audit"), scratch_path(spark, "dq_run_summary")
+        store_audit(history_runs(spark, sf_dir), *paths)
+        _HISTORY[key] = paths
+    audit, summary = _HISTORY[key]
+    return read_audit(spark, audit), read_summary(spark, summary)
+
+
 def monitor_dq_history(spark: SparkSession, sf_dir: str, last_n: int = 10):
     from ..plans.monitor import dq_history
-    return dq_history(run_summary(history_runs(spark, sf_dir)), last_n)
+    return dq_history(stored_history(spark, sf_dir)[1], last_n)
 
 
 def monitor_latest_failures(spark: SparkSession, sf_dir: str, n: int = 20):
     from ..plans.monitor import latest_failures
-    return latest_failures(history_runs(spark, sf_dir), n)
+    return latest_failures(stored_history(spark, sf_dir)[0], n)
+
+
+def _two_stored_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    paths = scratch_path(spark, "dq_audit"), scratch_path(spark, "dq_run_summary")
+    for started in TWO_RUNS:
+        run_job(spark, _not_null_tables(spark, sf_dir), NOT_NULL_SUITE, started, *paths)
+    return read_audit(spark, paths[0]), read_summary(spark, paths[1])
+
+
+def dq_run_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the job, a day apart: their stored summaries, with the ids of their rows."""
+    audit, summary = _two_stored_runs(spark, sf_dir)
+    ids = audit.groupBy("run_id").agg(F.countDistinct("audit_id").alias("audit_ids"), F.min("audit_id").alias("first_audit_id"))
+    return summary.join(ids, "run_id")
+
+
+def monitor_audit_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alert of the latest of two stored runs."""
+    from ..plans.monitor import alert_from_audit
+    audit, summary = _two_stored_runs(spark, sf_dir)
+    return alert_from_audit(summary, audit)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.scalar import concat_alert_line, ratio_half_up_decimal, ts_ntz
+from ..functions.scalar import concat_alert_line, ratio_half_up_decimal, stored_id, ts_ntz
 
 NULL_CHECK, DUPLICATE_CHECK, RANGE_CHECK = "NULL_CHECK", "DUPLICATE_CHECK", "RANGE_CHECK"
 HIGH, MEDIUM, LOW = "HIGH", "MEDIUM", "LOW"
@@ -82,7 +82,7 @@ def evaluate_rules(tables: dict[str, DataFrame], rules: DataFrame, checked_at: _
         out = out.unionByName(p)
     ts = ts_ntz(checked_at)
     return out.select(
-        F.col("rule_id").cast("long").alias("result_id"),
+        stored_id(ts, "rule_id").alias("result_id"),
         F.col("rule_id").cast("int").alias("rule_id"),
         F.col("failed_rows").cast("long").alias("failed_rows"),
         F.col("_total").cast("long").alias("total_rows"),
@@ -93,9 +93,9 @@ def evaluate_rules(tables: dict[str, DataFrame], rules: DataFrame, checked_at: _
 
 
 def results_with_rules(results: DataFrame, rules: DataFrame, day: _dt.date) -> DataFrame:
-    """One day's results with the rule metadata (a small broadcast join of configuration)."""
+    """One day's results with the rule metadata."""
     same_day = results.where(F.to_date("checked_at") == F.lit(day))
-    return (same_day.join(F.broadcast(rules), "rule_id")
+    return (same_day.join(rules, "rule_id")
             .select("table_name", "column_name", "rule_type", "severity", "failed_rows", "total_rows", "status"))
 
 
@@ -148,7 +148,7 @@ def dq_monitor(results: DataFrame, rules: DataFrame, day: _dt.date, run_time: _d
 def alert_body(results: DataFrame, rules: DataFrame, day: _dt.date) -> DataFrame:
     """One row: the number of HIGH failures and the newline-joined alert lines (ordered)."""
     same_day = results.where(F.to_date("checked_at") == F.lit(day))
-    r = (same_day.join(F.broadcast(rules), "rule_id")
+    r = (same_day.join(rules, "rule_id")
          .where((F.col("status") == "FAIL") & (F.col("severity") == HIGH)))
     line = concat_alert_line(F.col("table_name"), F.col("column_name"), F.col("rule_type"),
                              F.col("failed_rows"), F.col("failure_pct"))

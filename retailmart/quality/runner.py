@@ -15,10 +15,13 @@ from __future__ import annotations
 import datetime as _dt
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import ratio_half_up_decimal, ts_ntz
+from .. import schemas
+from ..functions.scalar import ratio_half_up_decimal, run_id_label, stored_id, ts_ntz
+from ..session import path_exists
+from ..sources.sinks import sink_replace_day
 from .rules import CRITICAL, Rule, TableChecks
 
 AUDIT_COLS = ["audit_id", "run_id", "run_date", "table_name", "column_name", "rule_name", "rule_type",
@@ -135,6 +138,8 @@ def run_checks(tables: dict[str, DataFrame], suite: list[TableChecks], run_id: s
 
     ``run_id`` / ``run_date`` are values fixed once per run (or Columns built from ``by``),
     never ``current_timestamp()`` inside the plan, so results can be compared and re-run.
+    ``audit_id`` holds the run's second and the rule's number, so ids of appended runs differ
+    (with ``by``, the id and the group together identify a row).
     By default the status compares the stored, rounded pass rate with the threshold (so
     99.996 % passes a 100 % rule, as in the reference); ``exact=True`` compares unrounded.
     """
@@ -156,7 +161,7 @@ def run_checks(tables: dict[str, DataFrame], suite: list[TableChecks], run_id: s
               else status_of(F.col("pass_rate"), F.col("threshold")))
     return (audit
             .withColumn("pass_rate", rate)
-            .select(F.col("_seq").cast("long").alias("audit_id"), *(by or []),
+            .select(stored_id(rdate, "_seq").alias("audit_id"), *(by or []),
                     rid.alias("run_id"), rdate.alias("run_date"), "table_name", "column_name", "rule_name",
                     "rule_type", "severity", status.alias("status"),
                     "total_records", "failed_records", "pass_rate", "threshold",
@@ -177,6 +182,40 @@ def run_summary(audit: DataFrame, by: list[str] | None = None, report_path: str
                       F.lit(report_path).cast("string").alias("report_path"))
 
 
+def store_audit(audit: DataFrame, audit_path: str, summary_path: str, run_id: str | None = None) -> None:
+    """Write audit rows, then the summary of the stored rows (``run_id``; None: of all runs).
+
+    Both tables are partitioned by ``run_id`` and a run's partition is replaced, so runs add
+    up, and a run lost half way leaves no second copy when it is started again.
+    """
+    spark = audit.sparkSession
+    sink_replace_day(audit.select(schemas.DQ_AUDIT.names), audit_path, "run_id")
+    stored = read_audit(spark, audit_path)
+    if run_id is not None:
+        stored = stored.where(F.col("run_id") == run_id)
+    sink_replace_day(run_summary(stored), summary_path, "run_id")
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.DQ_AUDIT).parquet(path).select(schemas.DQ_AUDIT.names)
+
+
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.DQ_RUN_SUMMARY).parquet(path).select(schemas.DQ_RUN_SUMMARY.names)
+
+
+def run_job(spark: SparkSession, tables: dict[str, DataFrame], suite: list[TableChecks], started: _dt.datetime,
+            audit_path: str, summary_path: str) -> tuple[str, str]:
+    """One data-quality run: names it by its start, evaluates the suite once, stores audit and
+    summary, and returns (run id, overall status).  A finished run of that second is refused."""
+    run_id = run_id_label(started)
+    if path_exists(spark, summary_path) and not read_summary(spark, summary_path).where(F.col("run_id") == run_id).isEmpty():
+        raise FileExistsError(f"run {run_id} is already stored")
+    store_audit(run_checks(tables, suite, run_id, started.replace(microsecond=0)), audit_path, summary_path, run_id)
+    summary = read_summary(spark, summary_path).where(F.col("run_id") == run_id)
+    return run_id, summary.first()["overall_status"]
+
+
 def overall_status(critical_fails: Column, failed_checks: Column) -> Column:
     return (F.when(critical_fails > 0, F.lit("FAILED"))
             .when(failed_checks > 0, F.lit("WARNING")).otherwise(F.lit("PASSED")))

@@ -7,6 +7,7 @@ is a convenience for tests, the bench and local runs.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -49,7 +50,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):  # "local-cluster" is a cluster
             raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage "
                                "(a machine-local folder is not visible to other executors)")
         conf_dir = tempfile.mkdtemp(prefix="retailmart-ckpt-")

@@ -33,9 +33,10 @@ sink_append_audit = sink_append
 
 
 def sink_replace_day(df: DataFrame, path: str, day_col: str = "check_date") -> None:
-    """Replace only the partitions (days) present in ``df``; other days stay untouched.
+    """Replace only the partitions (days, or other values of ``day_col``) present in ``df``.
 
-    Dynamic partition overwrite makes a re-run of the same day idempotent.
+    Other partitions stay untouched: dynamic partition overwrite makes a re-run of the same
+    day idempotent.
     """
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(day_col).parquet(path))
