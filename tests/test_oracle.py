@@ -52,6 +52,20 @@ def test_query_matches_oracle(spark, duck, key):
     assert a == b
 
 
+# results whose order is total: the rows are compared as they come
+ORDERED = ("q01_ytd_revenue", "q03_mom_growth", "q05_order_frequency_buckets", "q08_category_contribution",
+           "q09_monthly_revenue_report", "q10_seller_performance", "q12_daily_revenue_range", "mon_job_history",
+           "mon_dq_history", "mon_latest_failures")
+
+
+@pytest.mark.parametrize("key", ORDERED)
+def test_row_order_matches_oracle(spark, duck, key):
+    df = QUERIES[key](spark, SF_ORACLE)
+    rel = duck.execute(ORACLE[key])
+    names = [d[0] for d in rel.description]
+    assert [[_norm(r[n]) for n in names] for r in df.collect()] == [[_norm(v) for v in r] for r in rel.fetchall()]
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["year", "month_name", "monthly_revenue", "ytd_revenue"]

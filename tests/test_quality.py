@@ -180,3 +180,19 @@ def test_unknown_rule_type_and_missing_results_stop(spark):
     assert len(dq_gate(results, rules, now.date())) == 1
     with pytest.raises(DataQualityGateError, match="0 results for 1 rules"):
         dq_gate(results, rules, dt.date(2020, 1, 2))
+
+
+def test_run_job_stores_each_run_once_with_its_own_ids(spark, tmp_path):
+    from retailmart.quality.runner import read_audit, read_summary, run_job
+
+    audit, summary = str(tmp_path / "audit"), str(tmp_path / "summary")
+    df = spark.createDataFrame([(1,), (None,)], "k int")
+    suite = [TableChecks("t", (NotNull("k", Decimal("100")), ValueRange("k", min_val=0)))]
+    first, second = dt.datetime(2026, 1, 1, 6, 0, 0), dt.datetime(2026, 1, 1, 6, 0, 1, 5000)
+    assert run_job(spark, {"t": df}, suite, first, audit, summary) == ("DQ_20260101_060000", "FAILED")
+    assert run_job(spark, {"t": df.dropna()}, suite, second, audit, summary) == ("DQ_20260101_060001", "PASSED")
+    with pytest.raises(FileExistsError, match="already stored"):
+        run_job(spark, {"t": df}, suite, first, audit, summary)
+    ids = [r["audit_id"] for r in read_audit(spark, audit).collect()]
+    assert len(ids) == len(set(ids)) == 4
+    assert sorted(r["overall_status"] for r in read_summary(spark, summary).collect()) == ["FAILED", "PASSED"]

@@ -122,13 +122,20 @@ def test_unique_order_keys_option(spark, star):
 
 
 def test_published_root_is_not_rebuilt_and_unfinished_root_is_not_read(spark, tmp_path):
-    from retailmart.plans.warehouse import read_star, run_pipeline
-    root, stg = str(tmp_path / "star"), fixture.staging(spark, SF_SMALL)
-    built = run_pipeline(spark, stg, root=root, rate=fixture.FIXTURE_RATE)
+    from retailmart.plans.warehouse import current_star, read_star, run_pipeline
+    root, stg, registry = str(tmp_path / "star"), fixture.staging(spark, SF_SMALL), str(tmp_path / "registry")
+    built = run_pipeline(spark, stg, root=root, rate=fixture.FIXTURE_RATE, registry=registry)
     lines = built["fact_orders"].count()
     with pytest.raises(FileExistsError):
         run_pipeline(spark, {**stg, "stg_customers": stg["stg_customers"].limit(3)}, root=root)
-    assert read_star(spark, root)["fact_orders"].count() == lines
+    # a second build that fails half way leaves no table, and the first one stays the current one
+    text = F.concat(F.lit("at "), F.col("order_purchase_timestamp").cast("string"))
+    spoiled = {**stg, "stg_orders": stg["stg_orders"].withColumn("order_purchase_timestamp", text)}
+    with pytest.raises(Exception, match="purchase time cannot be read"):
+        run_pipeline(spark, spoiled, root=str(tmp_path / "second"), registry=registry, gate=False, land=False,
+                     date_start="1992-01-01", date_end="2002-12-31")
+    assert [p.name for p in (tmp_path / "second").iterdir()] == []
+    assert current_star(spark, registry).path == root and read_star(spark, root)["fact_orders"].count() == lines
     (tmp_path / "begun").mkdir()
     with pytest.raises(FileNotFoundError):
         read_star(spark, str(tmp_path / "begun"))
