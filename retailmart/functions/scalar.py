@@ -225,6 +225,7 @@ def number_label(n: ColumnOrName, suffix: str) -> Column:
 def concat_alert_line(table: ColumnOrName, column: ColumnOrName, rule: ColumnOrName,
                       failed: ColumnOrName, pct: ColumnOrName) -> Column:
     """'Table: t | Column: c | Rule: r | Failed Rows: n | Failure %: p' (NULL parts read as '')."""
+    # The label texts of an alert line.
     labels = ["Table: ", " | Column: ", " | Rule: ", " | Failed Rows: ", " | Failure %: "]
     parts = []
     for label, value in zip(labels, [table, column, rule, failed, pct]):

@@ -84,9 +84,10 @@ def translate_category(df: DataFrame, lookup: DataFrame | None, col: str = "cate
 def build_dim_product(stg_products: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
     """DISTINCT product_id; a repeated id keeps the smallest known (non-null) value of each attribute."""
     picked = stg_products.groupBy("product_id").agg(*(F.min(c).alias(c) for c in ("category_name", "photos_qty", "weight_g")))
-    translated = translate_category(picked, lookup)
-    keyed = dense_surrogate_key(translated, ["product_id"], "product_sk")
-    return keyed.select("product_sk", "product_id", "category_name", "category_english",
+    # numbered before the lookup join, with split points from the scan: the counting job then
+    # groups the ids alone, and the grouping of all attributes and the join run once
+    keyed = dense_surrogate_key(picked, ["product_id"], "product_sk", sample_from=stg_products.select("product_id"))
+    return translate_category(keyed, lookup).select("product_sk", "product_id", "category_name", "category_english",
                         "photos_qty", "weight_g")
 
 

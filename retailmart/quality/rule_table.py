@@ -134,6 +134,7 @@ def dq_gate(results: DataFrame, rules: DataFrame, day: _dt.date) -> list[str]:
     return lines
 
 
+# Fixed values in dq_monitor and dq_gate: the job name, its messages and the layout of the log lines.
 def dq_monitor(results: DataFrame, rules: DataFrame, day: _dt.date, run_time: _dt.datetime,
                job_name: str = "DQ_MONITOR") -> DataFrame:
     """One ``etl_job_log`` row: FAIL if any HIGH rule failed on ``day``, else SUCCESS."""

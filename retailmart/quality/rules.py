@@ -201,7 +201,7 @@ class TableChecks:
     rules: tuple
 
 
-# The reference suite (19 checks on the fact and two dimensions) -------------------------
+# The suite (19 checks on the fact and two dimensions, with their thresholds) --
 # Allowed order statuses (the seven intended values).
 ORDER_STATUSES = ("delivered", "shipped", "canceled", "processing", "invoiced", "unavailable", "approved")
 
