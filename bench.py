@@ -31,14 +31,14 @@ def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def _time(fn, repeat: int) -> float:
+def _time(fn, repeat: int) -> list[float]:
     _run(fn())  # warm-up
     times = []
     for _ in range(repeat):
         t = time.perf_counter()
         _run(fn())
         times.append(time.perf_counter() - t)
-    return statistics.median(times)
+    return times
 
 
 def main() -> None:
@@ -63,7 +63,7 @@ def main() -> None:
         t = time.perf_counter()
         star = build()
         builds.append(time.perf_counter() - t)
-    results = {"build_fact_orders": statistics.median(builds)}
+    times = {"build_fact_orders": builds}
 
     import datetime as _dt
     headline = {
@@ -86,14 +86,16 @@ def main() -> None:
         "dq_suite": lambda: run_checks(star.tables, default_suite(), J.TEST_RUN_ID, J.TEST_RUN_DATE),
     }
     for name, fn in headline.items():
-        results[name] = _time(fn, repeat)
+        times[name] = _time(fn, repeat)
 
+    results = {k: statistics.median(v) for k, v in times.items()}
     total = sum(results.values())
     print(json.dumps({
         "metric": "total_median_sec",
         "value": round(total, 3),
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in results.items()},
+        "min_max": {k: [round(min(v), 3), round(max(v), 3)] for k, v in times.items()},
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "cpus": cpus,
         "spark": spark.version,
