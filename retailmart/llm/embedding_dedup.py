@@ -1,15 +1,19 @@
-"""Near-duplicate embeddings by sorted projection passes.
+"""Near-duplicate embeddings by random projection passes.
 
-In each pass vectors are ordered by label and then lexicographically by a string of random
-hyperplane signs; vectors at a small angle agree in most leading signs and so stand close
-together.  Each vector is compared (cosine in double precision) with the ``window`` that
-follow it, and verified pairs are united over all passes.  The order is cut into blocks by
-global rank, with the first ``window`` rows of the next block added, so no label and no
-run of equal strings ends in one task.  The number of passes follows from the number of
-vectors: so many that a pair at the limit meets in a window with probability 0.999.
+In each pass vectors are grouped by label and the leading signs of their projections on
+random hyperplanes; all vectors of a group (a run) are compared, cosine in double precision,
+and verified pairs are united over all passes.  A pair meets in a pass if it agrees in the
+leading signs, so depth (signs that count) and limit alone give the number of passes after
+which a pair at the limit has met with probability 0.999, however the vectors are spread.
 
-Windows are bounded, groups are not: the exact way for the rest is to count the links of
-every vector against its whole component, in pairs of blocks.  Only counts leave a task.
+The depth follows the density measured in one projection: a label takes the depth at which
+its passes cost the fewest comparisons, where cutting runs below ``window`` gains nothing.
+Spread vectors need few signs; a dense label, which signs hardly cut, ends at few signs and
+few passes over large runs, a small one at no sign and a single pass.  Runs larger than a
+block are compared in pairs of blocks, so none is cut off or ends in one task.
+
+The links of every vector are then counted against its whole component, in pairs of blocks.
+Only forests and counts leave a task.
 
 Defined results: vectors that are null, empty, zero or hold null, NaN or infinite
 components, and rows without a label or vec_id, link with nothing; vectors of different
@@ -27,19 +31,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forest, in_blocks, run_starts, shuffle_partitions, whole_runs, written
+from .common import forest, in_blocks, run_starts, whole_runs, written
 from .components import connected_components
 
 SIGNS = 48
 WINDOW = 64
-RANKS = 256
+DEPTHS = range(0, SIGNS + 1, 3)
+RUN_BLOCK = 1024
 BLOCK = 512
+RUN = ["turn", "dim", "label", "key"]
 
 
-def passes_for(n: int, limit: float, window: int, missed: float = 1e-3) -> int:
-    """Passes after which a pair at the limit has met in a window, but for ``missed``."""
-    agree = 1 - math.acos(limit) / math.pi
-    hit = agree ** max(0.0, math.log2(max(n, 1) / window))
+def passes_for(depth: int, limit: float, missed: float = 1e-3) -> int:
+    """Passes after which a pair at the limit has agreed in ``depth`` signs, but for ``missed``."""
+    hit = (1 - math.acos(limit) / math.pi) ** depth
     return 1 if hit >= 1 - missed else math.ceil(math.log(missed) / math.log(1 - hit))
 
 
@@ -54,43 +59,52 @@ def hyperplanes(turn: int, dim: int) -> np.ndarray:
     return np.random.default_rng((turn, dim)).standard_normal((dim, SIGNS))
 
 
-def projected(passes: int):
-    """A row for each vector and pass: (turn, dim, label, key, rep, vector)."""
+def projected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each vector and pass: (turn, dim, label, key, rep); the key holds the leading ``depth`` signs."""
+    weight = np.int64(1) << np.arange(SIGNS - 1, -1, -1)
+    for batch in batches:
+        lengths, passes = batch.column("dim").to_numpy(), batch.column("passes").to_numpy()
+        for dim in np.unique(lengths):
+            for turn in range(int(passes[lengths == dim].max())):
+                part = batch.filter(pa.array((lengths == dim) & (passes > turn)))
+                key = (matrix(part.column("vector")) @ hyperplanes(turn, int(dim)) > 0) @ weight
+                key >>= SIGNS - part.column("depth").to_numpy().astype(np.int64)
+                yield pa.record_batch([pa.array(np.full(len(key), turn, np.int32)), part.column("dim"), part.column("label"), pa.array(key), part.column("rep")],
+                                      names=["turn", "dim", "label", "key", "rep"])
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = np.int64(1) << np.arange(SIGNS - 1, -1, -1)
-        for batch in batches:
-            lengths = batch.column("dim").to_numpy()
-            for dim in np.unique(lengths):
-                part = batch.filter(pa.array(lengths == dim))
-                x = matrix(part.column("vector"))
-                for turn in range(passes):
-                    key = (x @ hyperplanes(turn, int(dim)) > 0) @ weight
-                    yield pa.record_batch([pa.array(np.full(len(x), turn, np.int32)), part.column("dim"), part.column("label"), pa.array(key), part.column("rep"), part.column("vector")],
-                                          names=["turn", "dim", "label", "key", "rep", "vector"])
 
-    return work
+def depths(classes: DataFrame, strings: str, limit: float, window: int) -> DataFrame:
+    """(dim, label, depth, passes): of the depths, the one with the fewest comparisons by the runs of one projection."""
+    signs = classes.withColumn("depth", F.lit(SIGNS)).withColumn("passes", F.lit(1)).mapInArrow(projected, strings)
+    runs = signs.groupBy("dim", "label", "key").agg(F.count("*").alias("n")).withColumn("depth", F.explode(F.array(*[F.lit(x) for x in DEPTHS])))
+    runs = runs.groupBy("dim", "label", "depth", F.expr(f"shiftright(key, {SIGNS} - depth)").alias("key")).agg(F.sum("n").alias("n"))
+    passes = F.element_at(F.create_map(*[F.lit(x) for d in DEPTHS for x in (d, passes_for(d, limit))]), F.col("depth"))
+    pairs = runs.groupBy("dim", "label", "depth").agg(F.sum(F.col("n").cast("double") * F.greatest("n", F.lit(window))).alias("pairs")).withColumn("passes", passes)
+    best = pairs.groupBy("dim", "label").agg(F.min(F.struct(F.col("pairs") * F.col("passes"), "depth", "passes")).alias("best"))
+    return best.select("dim", "label", "best.depth", "best.passes")
 
 
-def in_windows(limit: float, window: int):
-    """Forests of the pairs within ``window`` ranks of each other, of one pass and label, that reach the limit."""
+def in_runs(limit: float):
+    """Forests of the pairs that reach the limit, of each pair of a run's blocks."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_runs(batches, ["part"]):
-            starts = run_starts(table, ["part"])
+        keys = [*RUN, "i", "j"]
+        for table in whole_runs(batches, keys):
+            starts = run_starts(table, keys)
+            rep = table.column("rep").to_numpy()
+            block, i, j = (table.column(c).to_numpy() for c in ("block", "i", "j"))
+            found = []
             for s, e in zip(starts[:-1], starts[1:]):
-                t = table.slice(s, e - s)
-                same = run_starts(t, ["turn", "dim", "label"])
-                rep, own = t.column("rep").to_numpy(), t.column("own").to_numpy(zero_copy_only=False)
-                for u, v in zip(same[:-1], same[1:]):
-                    if v - u < 2:
-                        continue
-                    x = matrix(t.column("vector").slice(u, v - u))
-                    near = np.triu(x @ x.T >= limit, 1)
-                    near &= ~np.triu(near, window + 1) & own[u:v, None]
-                    a, b = forest(v - u, *np.nonzero(near))
-                    if len(a):
-                        yield pa.record_batch([pa.array(rep[u + a]), pa.array(rep[u + b])], names=["a", "b"])
+                if e - s < 2:
+                    continue
+                x = matrix(table.column("vector").slice(s, e - s))
+                near = np.triu(x @ x.T >= limit, 1)
+                if i[s] != j[s]:
+                    near &= block[s:e, None] != block[None, s:e]
+                a, b = forest(e - s, *np.nonzero(near))
+                found.append((rep[s + a], rep[s + b]))
+            if found:
+                yield pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*found)], names=["a", "b"])
 
     return work
 
@@ -126,22 +140,13 @@ def near_duplicate_vectors(rows: DataFrame, limit: float = 0.98, window: int = W
     good = rows.where(usable)
     classes = written(good.groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
                       .select("label", F.size("vector").alias("dim"), "vector", "rep", "copies"), "vector-classes")
-    n, parts = classes.count(), shuffle_partitions(rows)
-    order = ["turn", "dim", "label", "key", "rep"]
-    label = dict(classes.dtypes)["label"]
-    vector = dict(classes.dtypes)["vector"]
-    strings = classes.select("dim", "label", "rep", "vector").mapInArrow(projected(passes_for(n, limit, window)), f"turn int, dim int, label {label}, key long, rep long, vector {vector}")
-    # ids after the sort are (partition << 33) + place in it; the table is written, so they stay
-    ranged = written(strings.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "vector-order")
-    piece, place = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
-    sizes = {r[0]: r[1] for r in ranged.groupBy(piece.alias("p")).count().collect()}  # one row a partition
-    first = np.cumsum([0] + [sizes.get(p, 0) for p in range(max(sizes, default=0) + 1)])[:-1]
-    rank = F.element_at(F.array(*[F.lit(int(x)) for x in (first if len(first) else [0])]), (piece + 1).cast("int")) + place
-    ranked = ranged.withColumn("rank", rank).withColumn("home", F.floor(F.col("rank") / RANKS))
-    also = F.when((F.col("rank") % RANKS < window) & (F.col("home") > 0), F.array("home", F.col("home") - 1)).otherwise(F.array("home"))
-    dealt = ranked.withColumn("part", F.explode(also)).withColumn("own", F.col("part") == F.col("home"))
-    dealt = dealt.repartition(parts, "part").sortWithinPartitions("part", "rank").select("part", "turn", "dim", "label", "rep", "own", "vector")
-    components = connected_components(dealt.mapInArrow(in_windows(limit, window), "a long, b long"), "vector-links")
+    strings = f"turn int, dim int, label {dict(classes.dtypes)['label']}, key long, rep long"
+    plan = written(depths(classes, strings, limit, window), "vector-depths")
+    keys = written(classes.join(plan, ["dim", "label"]).select("dim", "label", "rep", "vector", "depth", "passes").mapInArrow(projected, strings), "vector-keys")
+    runs = keys.groupBy(*RUN).agg(F.count("*").alias("n")).where("n > 1")
+    met = keys.join(runs, RUN).join(classes.select("rep", "vector"), "rep")
+    dealt = in_blocks(met, RUN, F.ceil(F.col("n") / RUN_BLOCK), "rep").select(*RUN, "i", "j", "block", "rep", "vector")
+    components = connected_components(dealt.mapInArrow(in_runs(limit), "a long, b long"), "vector-links")
     held = components.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = (components.withColumnRenamed("id", "rep").join(classes.select("rep", "vector", "copies"), "rep").join(held, "component"))
     blocks = in_blocks(members, ["component"], F.col("blocks"), "rep").select("component", "i", "j", "block", "rep", "copies", "vector")

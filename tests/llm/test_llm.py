@@ -138,6 +138,41 @@ def test_embeddings(spark):
     assert all(got[i] == (0, i, True) for i in (902, 903, 904, 905, 906, 907, 908, None))
 
 
+def test_embeddings_dense(spark):
+    rng = np.random.default_rng(2)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    apart = lambda x, angle: np.cos(angle) * x + np.sin(angle) * unit((w := rng.standard_normal(x.shape)) - (w * x).sum(-1, keepdims=True) * x)
+    middle, hub = unit(rng.standard_normal((2, 64)))
+    dense = unit(middle + rng.standard_normal((3000, 64)) * 0.04)  # cosines near 0.9 within the label
+    pairs = apart(dense[:500], 0.19)
+    around = apart(np.tile(hub, (300, 1)), np.linspace(0.05, 0.19, 300)[:, None])
+    x = np.concatenate([dense, pairs, hub[None], around]).astype("f4")
+    label = np.r_[np.zeros(3500, int), np.ones(301, int)]
+    df = spark.createDataFrame([(i, v.tolist(), int(y)) for i, (v, y) in enumerate(zip(x, label))], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicate_vectors(df).collect()}
+    x = unit(x.astype(float))
+    link = (x @ x.T >= 0.98) & (label[:, None] == label) & ~np.eye(len(x), dtype=bool)
+    root = np.arange(len(x))
+    while not np.array_equal(new := np.where(link, root, len(x)).min(1, initial=len(x)).clip(max=root), root):
+        root = new
+    assert link.sum() > 1500
+    assert got == {i: (int(n), int(r), bool(r == i)) for i, (n, r) in enumerate(zip(link.sum(1), root))}
+
+
+def test_embeddings_spread(spark):
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((4000, 32))
+    x = np.concatenate([base, base[:1000] + rng.standard_normal((1000, 32)) * 0.19])
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x.astype("f4"))], "vec_id long, embedding array<float>, label int")
+    plan = embedding_dedup.depths(df.selectExpr("label", "32 AS dim", "embedding AS vector", "vec_id AS rep"), "turn int, dim int, label int, key long, rep long", 0.98, 64).first()
+    assert plan.depth > 0 and plan.passes == embedding_dedup.passes_for(plan.depth, 0.98) > 1
+    got = sum(r.n_links for r in embedding_dedup.near_duplicate_vectors(df).collect())
+    x = x.astype("f4").astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = int((x @ x.T >= 0.98).sum()) - len(x)
+    assert want > 500 and want * 0.998 <= got <= want
+
+
 def test_sentencepiece(spark):
     import sentencepiece
 
