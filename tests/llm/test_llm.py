@@ -87,6 +87,40 @@ def test_repeated_passages(spark, which):
             assert r.n_removed == 0
 
 
+HOT_PHRASE = "a stock phrase of 24 byte"
+
+
+def hot_docs(spark):
+    rng = np.random.default_rng(5)
+    own = ["".join(chr(97 + c) for c in rng.integers(0, 26, 120)) for _ in range(600)]
+    rows = [(i, t[:60] + HOT_PHRASE + t[60:]) for i, t in enumerate(own)]
+    rows += [(1000 + i, "new " + own[i][40:60] + HOT_PHRASE + own[i][60:80 - i % 3]) for i in range(0, 600, 20)]
+    rows += [(2000 + i, own[i][:30] + "x" * (80 + i) + "the same passage of many documents, longer than a window is" + own[i][30:50]) for i in range(100)]
+    return edge_docs(spark, rows + [(2000, "y" * 200), (None, rows[0][1])])
+
+
+@pytest.mark.parametrize("hot_bytes", [1, 2000, 1 << 22])
+def test_repeated_passages_hot_phrase(spark, hot_bytes):
+    docs = hot_docs(spark)
+    got = suffix_dedup.repeated_passages(docs.where("doc_id <> 2000"), hot_bytes=hot_bytes).collect()
+    want = repeats([x for x in texts(docs) if x[0] not in (None, 2000)])
+    assert {r.doc_id: tuple(r)[1:5] for r in got} == want
+    got = suffix_dedup.repeated_passages(docs, hot_bytes=hot_bytes).collect()  # a document with two texts
+    assert len(got) == docs.count() and all(r.n_removed == 0 for r in got if r.doc_id is None)
+
+
+def test_hot_phrase_is_split(spark):
+    docs, most = hot_docs(spark).where("doc_id < 1000 OR doc_id >= 1000 AND doc_id < 2000"), {}
+    for hot_bytes in (2000, 1 << 22):
+        _, cut = suffix_dedup.dealt_segments(docs, suffix_dedup.LENGTH, suffix_dedup.GRAM, hot_bytes)
+        size = collections.Counter()
+        for r in cut.where("kind = 0").collect():
+            size[r.bucket] += len(suffix_dedup._unpack(bytes(r.data))[1])
+        most[hot_bytes] = max(size.values())
+    assert most[1 << 22] > 10000  # the segments of a phrase in one bucket
+    assert most[2000] < most[1 << 22] / 2
+
+
 def near(rows, words, percent):
     sets, up = {}, {}
     for i, t in rows:
