@@ -323,3 +323,66 @@ def test_pipeline_stages(spark):
     assert one.columns == two.columns == docs.columns
     last = corpus_pipeline.run(spark, SF_SMALL)
     assert last.count() > 0 and "tokens" in last.columns
+
+
+def test_pipeline_run(spark):
+    import sentencepiece
+
+    docs = small(spark)
+    stages, names = [docs], [n for n, _ in corpus_pipeline.STAGES]
+    for _, stage in corpus_pipeline.STAGES:
+        stages.append(corpus_pipeline.written(stage(spark, stages[-1], SF_SMALL), "t"))
+    assert names == ["toxicity", "exact dedup", "near dedup", "mixing", "sentencepiece"]
+    rows = [x.collect() for x in stages]
+    plain = lambda found: sorted(repr(tuple(r)) for r in found)
+    # scored and thresholded one document at a time
+    model = toxicity.fit(docs, small(spark, "labels"))
+    score = lambda t: model.scores(*toxicity.features(np.frombuffer(t, np.uint8), np.array([0, len(t)])))[0]
+    clean = [r for r in rows[0] if score((r.text or "").encode()) < model.thresholds.get(r.lang, toxicity.THRESHOLD)]
+    assert 0 < len(clean) <= len(rows[0]) and plain(rows[1]) == plain(clean)
+    firsts = {}
+    for r in sorted(clean, key=lambda r: r.doc_id):
+        firsts.setdefault(collapse((r.text or "").encode()), r)
+    assert plain(rows[2]) == plain(firsts.values())
+    group = near([(r.doc_id, (r.text or "").encode()) for r in firsts.values()], 5, 80)
+    left = [r for r in firsts.values() if group[r.doc_id][1] == r.doc_id]
+    assert plain(rows[3]) == plain(left)
+    copies = plain_mix(left)
+    assert plain(rows[4]) == plain(r for r in left for _ in range(copies[r.doc_id]))
+    lib = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_codec.MODEL)
+    want = sorted((r.doc_id, r.lang, r.source, lib.encode(r.text or "")) for r in left for _ in range(copies[r.doc_id]))
+    for got in (rows[5], corpus_pipeline.run(spark, SF_SMALL).collect()):
+        assert sorted((r.doc_id, r.lang, r.source, list(r.tokens)) for r in got) == want
+
+
+def plain_mix(rows, weights=(5, 2, 1), most=3.0):
+    """Copies by doc_id: sources share all words by weight, at most ``most`` times their own; whole epochs, then by key."""
+    import math
+    import re
+
+    size = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in rows}
+    sources = sorted({r.source for r in rows})
+    words = {s: sum(size[r.doc_id] for r in rows if r.source == s) for s in sources}
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(sources)}
+    target, free, budget = {}, set(sources), float(sum(words.values()))
+    while free:
+        level = budget / sum(weight[s] for s in free)
+        full = {s for s in free if most * words[s] < level * weight[s]}
+        target |= {s: most * words[s] for s in full} if full else {s: level * weight[s] for s in free}
+        budget -= sum(target[s] for s in full)
+        free = free - full if full else set()
+
+    def key(r):
+        u = (int(hashlib.md5(f"mix{r.doc_id}".encode()).hexdigest()[:13], 16) + 1) / float(2**52 + 2)
+        text = r.text or ""
+        other = sum(not (c.isalpha() or c in " \t\n\v\f\r") for c in text)
+        return -math.log(u) / (1.05 - other / max(len(text), 1))
+
+    copies = {}
+    for s in sources:
+        epochs = math.floor(target[s] / words[s]) if words[s] else 0
+        need, total = target[s] - epochs * words[s], 0
+        for r in sorted((r for r in rows if r.source == s), key=lambda r: (key(r), r.doc_id)):
+            total += size[r.doc_id]
+            copies[r.doc_id] = epochs + (need > 0 and total - size[r.doc_id] / 2 < need)
+    return copies
