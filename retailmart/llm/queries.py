@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embedding_dedup, exact_dedup, minhash_dedup, mixing, sentencepiece_codec, suffix_dedup, token_counts, toxicity, warc
+from . import chat, decontamination, embedding_dedup, exact_dedup, minhash_dedup, mixing, sentencepiece_codec, suffix_dedup, token_counts, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_sentencepiece": op2_sentencepiece,
@@ -73,6 +78,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_embeddings": op9_embeddings,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_decontamination": op12_decontamination,
 }
 
 WARC_SQL = """
@@ -127,4 +133,27 @@ FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ',
 WINDOW same AS (PARTITION BY body)
 """
 
-ORACLE = {"op1_warc": WARC_SQL, "op6_chat": CHAT_SQL, "op4_mix_sources": MIX_SQL, "op10_exact_dedup": EXACT_SQL}
+CONTAMINATION_SQL = r"""
+WITH items AS (
+  SELECT item_id, w, least(10, len(w)) AS t
+  FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark)
+  WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, t, unnest(list_transform(range(1, len(w) - t + 2), lambda s: array_to_string(w[s:s + t - 1], ' '))) AS win FROM items),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+placed AS (
+  SELECT r, t, unnest(list_transform(range(1, greatest(len(w) - t + 2, 1)), lambda s: {'s': s, 'win': array_to_string(w[s:s + t - 1], ' ')})) AS spot
+  FROM docs, (SELECT DISTINCT t FROM windows)),
+hits AS (SELECT r, t, s, win FROM (SELECT r, t, spot.s AS s, spot.win AS win FROM placed) SEMI JOIN windows USING (t, win)),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + t)) AS p FROM hits) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits JOIN windows USING (t, win) WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""
+
+ORACLE = {"op12_decontamination": CONTAMINATION_SQL, "op1_warc": WARC_SQL, "op6_chat": CHAT_SQL, "op4_mix_sources": MIX_SQL, "op10_exact_dedup": EXACT_SQL}
