@@ -30,13 +30,11 @@ count as no item; an empty benchmark hits nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import bound, written
 
 LENGTH = 10
 #: The words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` of a lower-cased text, and of one as it is, as classes that Java matches fast.
@@ -61,11 +59,6 @@ def gram(length: int) -> int:
     return (2 * length + 4) // 5
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often it is referred to."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def keys(w: Column, length: int) -> Column:
     """Key of the k-gram from every word that has one: hash above, place below."""
     k = gram(length)

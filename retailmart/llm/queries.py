@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, embedding_dedup, exact_dedup, minhash_dedup, mixing, sentencepiece_codec, suffix_dedup, token_counts, toxicity, warc
+from . import chat, decontamination, embedding_dedup, exact_dedup, minhash_dedup, mixing, periodic_runs, sentencepiece_codec, suffix_dedup, token_counts, toxicity, warc
+from .common import bound
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +68,30 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_repeats(_table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("top"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                         F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return found.selectExpr("doc_id", "n_runs", "-top.start AS start", "top.length AS length", "-top.period AS period",
+                            "1000 * top.length div -top.period AS exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth text, by hash of the id, ends in words repeated from a place and with a period that the hash gives."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(w):
+        n = F.nullif(F.size(w), F.lit(0))
+        return bound(g % n, lambda a: bound(1 + F.floor((n - a) / (3 + g % 8)), lambda p: F.array_join(
+            F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, (a + (i - a) % p).cast("int")))), " ")))
+
+    words = F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0))
+    return docs.select("doc_id", F.when(h % 10 == 0, F.coalesce(bound(words, repeated), F.col("text"))).otherwise(F.col("text")).alias("text"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_sentencepiece": op2_sentencepiece,
@@ -79,6 +104,7 @@ QUERIES = {
     "op9_embeddings": op9_embeddings,
     "op10_exact_dedup": op10_exact_dedup,
     "op12_decontamination": op12_decontamination,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 WARC_SQL = """
