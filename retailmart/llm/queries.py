@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, embedding_dedup, exact_dedup, minhash_dedup, mixing, periodic_runs, sentencepiece_codec, suffix_dedup, token_counts, toxicity, warc
+from . import chat, decontamination, embedding_dedup, exact_dedup, minhash_dedup, mixing, periodic_runs, sentencepiece_codec, suffix_dedup, token_counts, toxicity, warc, whitening
 from .common import bound
 
 
@@ -63,6 +63,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -103,6 +107,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_embeddings": op9_embeddings,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_whitening": op11_whitening,
     "op12_decontamination": op12_decontamination,
     "op13_periodic_runs": op13_periodic_runs,
 }
