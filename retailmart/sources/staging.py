@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
 from ..functions.cleaning import conform
+from . import records
 
 log = logging.getLogger(__name__)
 
 
-# Tables with free-text fields whose quoted values may span lines.  Such files are parsed
-# whole per file (a file is not split across tasks), so only these tables pay for it.
+# Tables with free-text fields whose quoted values may span lines: their records are put
+# together from ranges of the file (``records``), which costs a shuffle of the text.
 MULTILINE_TABLES = frozenset({"stg_reviews"})
 
 
@@ -29,9 +30,11 @@ def scan_csv_staging(spark: SparkSession, path: str, table: str) -> DataFrame:
 
     RFC 4180 quoting: fields in double quotes, a doubled quote inside is a literal quote.
     """
-    raw = (spark.read.option("header", True).option("inferSchema", False)
-           .option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"')
-           .option("multiLine", table in MULTILINE_TABLES).csv(path))
+    if table in MULTILINE_TABLES:
+        raw = records.scan_csv_records(spark, path)
+    else:
+        raw = (spark.read.option("header", True).option("inferSchema", False)
+               .option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"').csv(path))
     return conform(raw, schemas.STAGING[table], schemas.STAGING_ALIASES.get(table))
 
 
