@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -183,6 +183,50 @@ def in_blocks(rows: DataFrame, group: list[str], blocks: Column, member: str) ->
     the pair of it with itself) and no task holds more than two blocks.
     """
     own = F.pmod(F.xxhash64(member), blocks).cast("int")
-    dealt = rows.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
+    return to_partners(rows.withColumn("block", own).withColumn("partners", F.sequence(F.lit(0), (blocks - 1).cast("int"))), group, member)
+
+
+def to_partners(rows: DataFrame, group: list[str], member: str) -> DataFrame:
+    """Rows with a ``block`` and a list of ``partners`` sent to each pair of the two, as ``i`` and ``j``."""
+    dealt = rows.withColumn("other", F.explode("partners")).drop("partners")
     dealt = dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
     return dealt.repartition(shuffle_partitions(rows), *group, "i", "j").sortWithinPartitions(*group, "i", "j", member)
+
+
+def in_own_blocks(rows: DataFrame, group: list[str], blocks: Column, member: str) -> DataFrame:
+    """Rows dealt to blocks of their group, twice and by two hashes where it has several: columns ``block``, ``i`` and ``j``.
+
+    Members of one block in either dealing meet.  What is alike throughout a large group is
+    joined through them without comparing all its pairs; see ``across_parts`` for the rest.
+    """
+    turns = F.when(blocks > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    dealt = rows.withColumn("turn", F.explode(turns))
+    own = (F.col("turn") * blocks + F.pmod(F.xxhash64(member, "turn"), blocks)).cast("int")
+    dealt = dealt.withColumn("block", own).withColumn("i", F.col("block")).withColumn("j", F.col("block")).drop("turn")
+    return dealt.repartition(shuffle_partitions(rows), *group, "i", "j").sortWithinPartitions(*group, "i", "j", member)
+
+
+def across_parts(rows: DataFrame, group: list[str], part: str, load: Column, member: str) -> DataFrame:
+    """(group, member, block, partners) of the members of groups with several parts, such that members of different parts meet.
+
+    A part of half a block or more (``load`` counts in blocks) has blocks of its own, which
+    are never paired with each other; smaller parts share blocks, which are paired with all.
+    So a group of one large part and few others costs what the others cost against all, and
+    a group that is one part nothing.
+    """
+    own = rows.groupBy(*group, part).agg(F.sum(load).alias("own"))
+    small = F.sum(F.when(F.col("own") < 0.5, F.col("own")))
+    groups = (own.groupBy(*group).agg(F.count("*").alias("parts"), F.coalesce(F.ceil(small), F.lit(0)).cast("int").alias("shared"),
+                                      F.coalesce(F.sum(F.when(F.col("own") >= 0.5, F.ceil("own"))), F.lit(0)).cast("int").alias("rest"))
+              .where("parts > 1"))
+    earlier = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    large = own.where("own >= 0.5").withColumn("many", F.ceil("own").cast("int"))
+    large = large.select(*group, part, "many", F.coalesce(F.sum("many").over(earlier), F.lit(0)).cast("int").alias("before"))
+    dealt = rows.join(groups, group).join(large, [*group, part], "left")
+    first, total = F.col("shared") + F.col("before"), F.col("shared") + F.col("rest")
+    alone = F.col("many").isNotNull()
+    block = F.when(alone, first + F.pmod(F.xxhash64(member), F.col("many"))).otherwise(F.pmod(F.xxhash64(part), F.nullif(F.col("shared"), F.lit(0)))).cast("int")
+    none = F.array().cast("array<int>")
+    run = lambda lo, hi: F.when(lo < hi, F.sequence(lo, hi - 1)).otherwise(none)
+    partners = F.when(alone, F.concat(run(F.lit(0), first), run(first + F.col("many"), total))).otherwise(run(F.lit(0), total))
+    return dealt.select(*group, member, block.alias("block"), partners.alias("partners"))

@@ -12,10 +12,13 @@
    the shared shingles.  Links are again reduced to a forest, whose components are the
    result.  So no task emits more links than it has members, whatever the size of a group.
 
-A bucket or component larger than a block is split into blocks, and every pair of blocks
-is a piece of work of its own; nothing is capped.  A link is missed only if no band key is
-shared (below one in a million at the limit, less above it) or by the sketch limit (about
-3 in a million there).
+A bucket or component larger than a block is dealt to blocks twice, by two hashes, and
+compared inside them; that joins most of what is alike throughout.  Then members of parts
+still apart are compared in pairs of blocks, and those of one part, which can add nothing,
+are not.  So a large group of near copies costs in proportion to its members, and the
+square remains only where very many members of a bucket are alike to few others.  Nothing
+is capped.  A link is missed only if no band key is shared (below one in a million at the
+limit, less above it) or by the sketch limit (about 3 in a million there).
 
 Defined results: null and empty texts have an empty set and are linked with nothing; texts
 with fewer words than a shingle have the whole sequence as their only shingle; rows that
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, Rolling, forest, in_blocks, mix, run_starts, text_chunks, whole_runs, word_spans, written
+from .common import LOWER, Rolling, across_parts, forest, in_own_blocks, mix, run_starts, text_chunks, to_partners, whole_runs, word_spans, written
 from .components import connected_components
 
 SAMPLES = 125
@@ -153,7 +156,7 @@ def alike_by_sketch(limit: int):
 
 
 def full_sets(words: int):
-    """(component, doc_id, size, shingles) of texts; the set as bytes of sorted 64-bit hashes."""
+    """The columns of texts with ``shingles`` for ``text``: the set as bytes of sorted 64-bit hashes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,7 +164,8 @@ def full_sets(words: int):
                 row, value = shingles(data, off, words)
                 at = np.searchsorted(row, np.arange(hi - lo + 1))
                 sets = [value[x:y].tobytes() for x, y in zip(at[:-1], at[1:])]
-                yield pa.record_batch([*(batch.column(c).slice(lo, hi - lo) for c in ("component", "doc_id", "blocks")), pa.array(sets, pa.binary())], names=["component", "doc_id", "blocks", "shingles"])
+                names = [c for c in batch.schema.names if c != "text"]
+                yield pa.record_batch([*(batch.column(c).slice(lo, hi - lo) for c in names), pa.array(sets, pa.binary())], names=[*names, "shingles"])
 
     return work
 
@@ -213,6 +217,16 @@ def confirmed(percent: int):
     return work
 
 
+def _parted(rows: DataFrame, components: DataFrame, member: str) -> DataFrame:
+    """``rows`` with the ``part`` that each member is in: its component, or itself."""
+    parts = components.select(F.col("id").alias(member), F.col("component").alias("part"))
+    return rows.join(parts, member, "left").withColumn("part", F.coalesce("part", member))
+
+
+def _edges(components: DataFrame) -> DataFrame:
+    return components.select(F.col("id").alias("a"), F.col("component").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
     marks = written(signatures(docs, words, percent), "minhash")
@@ -221,17 +235,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                       .select("set_a", "set_b", "n_shingles", "rep", "s.bands", "s.sketch"), "minhash-classes")
     keys = classes.select("rep", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").count().where("count > 1")
-    members = keys.join(buckets, "key").join(classes.select("rep", "sketch"), "rep")
-    blocks = F.ceil(F.col("count") / BUCKET_BLOCK)
-    alike = in_blocks(members, ["key"], blocks, "rep").select("key", "i", "j", "block", "rep", "sketch").mapInArrow(alike_by_sketch(sketch_limit(percent)), EDGE)
-    close = connected_components(alike, "minhash-close").withColumnRenamed("id", "doc_id")
-    held = close.join(classes.select(F.col("rep").alias("doc_id"), "n_shingles"), "doc_id").groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
-    need = F.greatest(F.ceil(F.col("n") / SET_BLOCK), F.ceil(F.col("total") / SET_BLOCK_SHINGLES)).cast("int").alias("blocks")
-    close = written(close.join(held.select("component", need), "component"), "minhash-close")
-    texts = docs.select("doc_id", "text").join(close, "doc_id").select("component", "doc_id", "blocks", "text")
-    sets = texts.mapInArrow(full_sets(words), "component long, doc_id long, blocks int, shingles binary")
-    dealt = in_blocks(sets, ["component"], F.col("blocks"), "doc_id").select("component", "i", "j", "block", "doc_id", "shingles")
+    members = keys.join(buckets, "key")
+    sketches, similar = classes.select("rep", "sketch"), alike_by_sketch(sketch_limit(percent))
+    dealt = in_own_blocks(members.join(sketches, "rep"), ["key"], F.ceil(F.col("count") / BUCKET_BLOCK), "rep")
+    close = connected_components(dealt.select("key", "i", "j", "block", "rep", "sketch").mapInArrow(similar, EDGE), "minhash-close")
+    wide = members.where(F.col("count") > BUCKET_BLOCK).select("key", "rep")
+    if not wide.isEmpty():
+        apart = across_parts(_parted(wide, close, "rep"), ["key"], "part", F.lit(1 / BUCKET_BLOCK), "rep")
+        dealt = to_partners(apart.join(sketches, "rep"), ["key"], "rep").select("key", "i", "j", "block", "rep", "sketch")
+        close = connected_components(_edges(close).unionByName(dealt.mapInArrow(similar, EDGE)), "minhash-close")
+    load = (1 / SET_BLOCK + F.col("n_shingles") / SET_BLOCK_SHINGLES).alias("load")
+    close = close.select(F.col("id").alias("doc_id"), "component").join(classes.select(F.col("rep").alias("doc_id"), load), "doc_id")
+    blocks = close.groupBy("component").agg(F.ceil(F.sum("load")).cast("int").alias("blocks"))
+    close = written(close.join(blocks, "component"), "minhash-close")
+    texts = docs.select("doc_id", "text")
+    sets = texts.join(close.select("doc_id", "component", "blocks"), "doc_id").mapInArrow(full_sets(words), "doc_id long, component long, blocks int, shingles binary")
+    dealt = in_own_blocks(sets, ["component"], F.col("blocks"), "doc_id").select("component", "i", "j", "block", "doc_id", "shingles")
     found = connected_components(dealt.mapInArrow(confirmed(percent), EDGE), "minhash-links")
+    wide = close.where("blocks > 1").select("component", "doc_id", "load")
+    if not wide.isEmpty():
+        apart = across_parts(_parted(wide, found, "doc_id"), ["component"], "part", F.col("load"), "doc_id")
+        sets = texts.join(apart, "doc_id").mapInArrow(full_sets(words), "doc_id long, component long, block int, partners array<int>, shingles binary")
+        dealt = to_partners(sets, ["component"], "doc_id").select("component", "i", "j", "block", "doc_id", "shingles")
+        found = connected_components(_edges(found).unionByName(dealt.mapInArrow(confirmed(percent), EDGE)), "minhash-links")
     groups = written(classes.select("set_a", "set_b", "n_shingles", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left")
                      .select("set_a", "set_b", "n_shingles", F.coalesce("component", "rep").alias("component")), "minhash-groups")
     named = marks.select("doc_id", "n_shingles", "set_a", "set_b").join(groups, ["set_a", "set_b", "n_shingles"], "left")
