@@ -221,7 +221,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
 
 def read_back(chats: DataFrame) -> DataFrame:
     """Turn and loss digests of formatted chats, from the formatted strings and masks alone."""
-    schema = "conv_id long, n_turns int, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     sha = lambda x: hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +231,7 @@ def read_back(chats: DataFrame) -> DataFrame:
                 turns = parse(formatted)
                 learned = "".join(unescape(formatted[x["start"]:x["end"]]) for x in loss)
                 rows.append((conv_id, len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(learned), sha(learned), len(formatted)))
-            kinds = [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
             yield pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=[x.split()[0] for x in schema.split(", ")])
 
     return chats.select("conv_id", "formatted", "loss").mapInArrow(work, schema)
