@@ -227,7 +227,7 @@ def in_own_blocks(rows: DataFrame, group: list[str], blocks: Column, member: str
 
 
 def across_parts(rows: DataFrame, group: list[str], part: str, load: Column, member: str) -> DataFrame:
-    """(group, member, block, partners) of the members of groups with several parts, such that members of different parts meet.
+    """(group, member, part, block, partners) of the members of groups with several parts, such that members of different parts meet.
 
     A part of half a block or more (``load`` counts in blocks) has blocks of its own, which
     are never paired with each other; smaller parts share blocks, which are paired with all.
@@ -249,4 +249,4 @@ def across_parts(rows: DataFrame, group: list[str], part: str, load: Column, mem
     none = F.array().cast("array<int>")
     run = lambda lo, hi: F.when(lo < hi, F.sequence(lo, hi - 1)).otherwise(none)
     partners = F.when(alone, F.concat(run(F.lit(0), first), run(first + F.col("many"), total))).otherwise(run(F.lit(0), total))
-    return dealt.select(*group, member, block.alias("block"), partners.alias("partners"))
+    return dealt.select(*group, member, part, block.alias("block"), partners.alias("partners"))

@@ -223,8 +223,15 @@ def _parted(rows: DataFrame, components: DataFrame, member: str) -> DataFrame:
     return rows.join(parts, member, "left").withColumn("part", F.coalesce("part", member))
 
 
-def _edges(components: DataFrame) -> DataFrame:
-    return components.select(F.col("id").alias("a"), F.col("component").alias("b"))
+def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after ``links`` between them (or single members), named like them by their smallest ids."""
+    links = written(links.where("a <> b").distinct(), "minhash-across")
+    if links.isEmpty():
+        return components
+    new = connected_components(links, "minhash-merged").select(F.col("id").alias("component"), F.col("component").alias("into"))
+    joined = components.join(new, "component", "left").select("id", F.coalesce("into", "component").alias("component"))
+    single = new.join(components.select(F.col("id").alias("component")), "component", "left_anti")
+    return joined.unionByName(single.select(F.col("component").alias("id"), F.col("into").alias("component")))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -235,15 +242,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                       .select("set_a", "set_b", "n_shingles", "rep", "s.bands", "s.sketch"), "minhash-classes")
     keys = classes.select("rep", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").count().where("count > 1")
-    members = keys.join(buckets, "key")
+    members = written(keys.join(buckets, "key"), "minhash-members")
     sketches, similar = classes.select("rep", "sketch"), alike_by_sketch(sketch_limit(percent))
     dealt = in_own_blocks(members.join(sketches, "rep"), ["key"], F.ceil(F.col("count") / BUCKET_BLOCK), "rep")
     close = connected_components(dealt.select("key", "i", "j", "block", "rep", "sketch").mapInArrow(similar, EDGE), "minhash-close")
     wide = members.where(F.col("count") > BUCKET_BLOCK).select("key", "rep")
     if not wide.isEmpty():
         apart = across_parts(_parted(wide, close, "rep"), ["key"], "part", F.lit(1 / BUCKET_BLOCK), "rep")
-        dealt = to_partners(apart.join(sketches, "rep"), ["key"], "rep").select("key", "i", "j", "block", "rep", "sketch")
-        close = connected_components(_edges(close).unionByName(dealt.mapInArrow(similar, EDGE)), "minhash-close")
+        dealt = to_partners(apart.join(sketches, "rep"), ["key"], "rep").select("key", "i", "j", "block", F.col("part").alias("rep"), "sketch")
+        close = _merged(close, dealt.mapInArrow(similar, EDGE))
     load = (1 / SET_BLOCK + F.col("n_shingles") / SET_BLOCK_SHINGLES).alias("load")
     close = close.select(F.col("id").alias("doc_id"), "component").join(classes.select(F.col("rep").alias("doc_id"), load), "doc_id")
     blocks = close.groupBy("component").agg(F.ceil(F.sum("load")).cast("int").alias("blocks"))
@@ -255,9 +262,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     wide = close.where("blocks > 1").select("component", "doc_id", "load")
     if not wide.isEmpty():
         apart = across_parts(_parted(wide, found, "doc_id"), ["component"], "part", F.col("load"), "doc_id")
-        sets = texts.join(apart, "doc_id").mapInArrow(full_sets(words), "doc_id long, component long, block int, partners array<int>, shingles binary")
-        dealt = to_partners(sets, ["component"], "doc_id").select("component", "i", "j", "block", "doc_id", "shingles")
-        found = connected_components(_edges(found).unionByName(dealt.mapInArrow(confirmed(percent), EDGE)), "minhash-links")
+        sets = texts.join(apart, "doc_id").mapInArrow(full_sets(words), "doc_id long, component long, part long, block int, partners array<int>, shingles binary")
+        dealt = to_partners(sets, ["component"], "doc_id").select("component", "i", "j", "block", F.col("part").alias("doc_id"), "shingles")
+        found = _merged(found, dealt.mapInArrow(confirmed(percent), EDGE))
     groups = written(classes.select("set_a", "set_b", "n_shingles", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left")
                      .select("set_a", "set_b", "n_shingles", F.coalesce("component", "rep").alias("component")), "minhash-groups")
     named = marks.select("doc_id", "n_shingles", "set_a", "set_b").join(groups, ["set_a", "set_b", "n_shingles"], "left")
