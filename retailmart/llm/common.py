@@ -226,15 +226,19 @@ def in_own_blocks(rows: DataFrame, group: list[str], blocks: Column, member: str
     return dealt.repartition(shuffle_partitions(rows), *group, "i", "j").sortWithinPartitions(*group, "i", "j", member)
 
 
-def across_parts(rows: DataFrame, group: list[str], part: str, load: Column, member: str) -> DataFrame:
+def part_sizes(rows: DataFrame, group: list[str], part: str, load: Column) -> DataFrame:
+    """(group, part, own): the load of every part, in blocks."""
+    return rows.groupBy(*group, part).agg(F.sum(load).alias("own"))
+
+
+def across_parts(rows: DataFrame, own: DataFrame, group: list[str], part: str, member: str) -> DataFrame:
     """(group, member, part, block, partners) of the members of groups with several parts, such that members of different parts meet.
 
-    A part of half a block or more (``load`` counts in blocks) has blocks of its own, which
-    are never paired with each other; smaller parts share blocks, which are paired with all.
-    So a group of one large part and few others costs what the others cost against all, and
-    a group that is one part nothing.
+    ``own`` holds the sizes of the parts.  A part of half a block or more has blocks of its
+    own, which are never paired with each other; smaller parts share blocks, which are paired
+    with all.  So a group of one large part and few others costs what the others cost
+    against all, and a group that is one part nothing.
     """
-    own = rows.groupBy(*group, part).agg(F.sum(load).alias("own"))
     small = F.sum(F.when(F.col("own") < 0.5, F.col("own")))
     groups = (own.groupBy(*group).agg(F.count("*").alias("parts"), F.coalesce(F.ceil(small), F.lit(0)).cast("int").alias("shared"),
                                       F.coalesce(F.sum(F.when(F.col("own") >= 0.5, F.ceil("own"))), F.lit(0)).cast("int").alias("rest"))

@@ -31,10 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, Rolling, across_parts, forest, in_own_blocks, mix, run_starts, text_chunks, to_partners, whole_runs, word_spans, written
+from .common import LOWER, Rolling, across_parts, forest, in_own_blocks, mix, part_sizes, run_starts, text_chunks, to_partners, whole_runs, word_spans, written
 from .components import connected_components
 
 SAMPLES = 125
@@ -217,10 +217,16 @@ def confirmed(percent: int):
     return work
 
 
-def _parted(rows: DataFrame, components: DataFrame, member: str) -> DataFrame:
-    """``rows`` with the ``part`` that each member is in: its component, or itself."""
+def _apart(rows: DataFrame, components: DataFrame, group: list[str], member: str, load: Column) -> DataFrame | None:
+    """``rows`` of groups whose members are in several components (or in none, a part of their own), dealt by ``across_parts``; None without such."""
+    if rows.isEmpty():
+        return None
     parts = components.select(F.col("id").alias(member), F.col("component").alias("part"))
-    return rows.join(parts, member, "left").withColumn("part", F.coalesce("part", member))
+    parted = written(rows.join(parts, member, "left").withColumn("part", F.coalesce("part", member)), "minhash-parted")
+    sizes = written(part_sizes(parted, group, "part", load), "minhash-parts")
+    if not sizes.groupBy(*group).count().where("count > 1").agg(F.count("*")).first()[0]:
+        return None
+    return across_parts(parted, sizes, group, "part", member)
 
 
 def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
@@ -247,8 +253,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     dealt = in_own_blocks(members.join(sketches, "rep"), ["key"], F.ceil(F.col("count") / BUCKET_BLOCK), "rep")
     close = connected_components(dealt.select("key", "i", "j", "block", "rep", "sketch").mapInArrow(similar, EDGE), "minhash-close")
     wide = members.where(F.col("count") > BUCKET_BLOCK).select("key", "rep")
-    if not wide.isEmpty():
-        apart = across_parts(_parted(wide, close, "rep"), ["key"], "part", F.lit(1 / BUCKET_BLOCK), "rep")
+    if (apart := _apart(wide, close, ["key"], "rep", F.lit(1 / BUCKET_BLOCK))) is not None:
         dealt = to_partners(apart.join(sketches, "rep"), ["key"], "rep").select("key", "i", "j", "block", F.col("part").alias("rep"), "sketch")
         close = _merged(close, dealt.mapInArrow(similar, EDGE))
     load = (1 / SET_BLOCK + F.col("n_shingles") / SET_BLOCK_SHINGLES).alias("load")
@@ -260,8 +265,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     dealt = in_own_blocks(sets, ["component"], F.col("blocks"), "doc_id").select("component", "i", "j", "block", "doc_id", "shingles")
     found = connected_components(dealt.mapInArrow(confirmed(percent), EDGE), "minhash-links")
     wide = close.where("blocks > 1").select("component", "doc_id", "load")
-    if not wide.isEmpty():
-        apart = across_parts(_parted(wide, found, "doc_id"), ["component"], "part", F.col("load"), "doc_id")
+    if (apart := _apart(wide, found, ["component"], "doc_id", F.col("load"))) is not None:
         sets = texts.join(apart, "doc_id").mapInArrow(full_sets(words), "doc_id long, component long, part long, block int, partners array<int>, shingles binary")
         dealt = to_partners(sets, ["component"], "doc_id").select("component", "i", "j", "block", F.col("part").alias("doc_id"), "shingles")
         found = _merged(found, dealt.mapInArrow(confirmed(percent), EDGE))

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from test_llm import edge_docs, near, small, texts
 
 from retailmart.llm import minhash_dedup
-from retailmart.llm.common import across_parts, in_own_blocks, to_partners
+from retailmart.llm.common import across_parts, in_own_blocks, part_sizes, to_partners
+from retailmart.llm.components import connected_components
 
 
 @pytest.fixture
@@ -65,7 +66,8 @@ def test_across_parts(spark):
     rows = [(0, i, 7) for i in range(400)] + [(0, 400 + i, 400 + i) for i in range(30)] + [(0, 500 + i, 8) for i in range(60)]
     rows += [(1, 1000 + i, 9) for i in range(100)] + [(2, 2000 + i, 2000 + int(rng.integers(0, 20))) for i in range(50)] + [(3, 3000, 3000), (3, 3001, 3001)]
     df = spark.createDataFrame(rows, "g long, id long, part long")
-    out = to_partners(across_parts(df, ["g"], "part", F.lit(1 / 16), "id"), ["g"], "id")
+    sizes = part_sizes(df, ["g"], "part", F.lit(1 / 16))
+    out = to_partners(across_parts(df, sizes, ["g"], "part", "id"), ["g"], "id")
     seen, sent = dealt_pairs(out)
     for k in {r[0] for r in rows}:
         members = [(i, p) for g, i, p in rows if g == k]
@@ -85,14 +87,26 @@ def test_own_blocks(spark):
 
 def test_large_group_is_compared_once(spark, small_blocks, monkeypatch):
     """A group of near copies is joined inside its blocks; nothing of it is left for pairs of blocks."""
-    left = []
-
-    def recorded(*args):
-        found = across_parts(*args)
-        left.append(found.count())
-        return found
-
-    monkeypatch.setattr(minhash_dedup, "across_parts", recorded)
+    found = []
+    monkeypatch.setattr(minhash_dedup, "_apart", lambda *args, own=minhash_dedup._apart: found.append(own(*args)) or found[-1])
     docs = edge_docs(spark, [(i, " ".join(f"w{j}" if j != i % 120 else f"x{i}" for j in range(120))) for i in range(400)])
     assert {r.component_id for r in minhash_dedup.near_duplicates(docs, 3, 85).collect()} == {0}
-    assert left == [0, 0]
+    assert found == [None, None]
+
+
+@pytest.mark.parametrize("edges", [[], [(1, 1)], [(2, 1), (3, 2), (4, 3), (9, 8), (8, 9), (20, 1)], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 50)] + [(70, i) for i in range(40, 60)],
+                                   [(int(a), int(b)) for a, b in np.random.default_rng(6).integers(0, 300, (200, 2))]])
+def test_components(spark, edges):
+    up = {x: x for e in edges if e[0] != e[1] for x in e}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = sorted((root(a), root(b)))
+            up[y] = x
+    got = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert sorted((r.id, r.component) for r in got) == sorted((x, root(x)) for x in up)
