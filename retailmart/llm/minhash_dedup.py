@@ -226,7 +226,8 @@ def _apart(rows: DataFrame, components: DataFrame, group: list[str], member: str
     sizes = written(part_sizes(parted, group, "part", load), "minhash-parts")
     if not sizes.groupBy(*group).count().where("count > 1").agg(F.count("*")).first()[0]:
         return None
-    return across_parts(parted, sizes, group, "part", member)
+    # written, so that its size is known where texts or sketches are joined to it
+    return written(across_parts(parted, sizes, group, "part", member), "minhash-apart")
 
 
 def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
