@@ -1,12 +1,10 @@
-"""Near-duplicate groups larger than a block: nothing is lost, and a group that is one part is not compared in pairs."""
+"""Near-duplicate groups larger than a block lose no link, and connected components against union-find."""
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 from test_llm import edge_docs, near, small, texts
 
 from retailmart.llm import minhash_dedup
-from retailmart.llm.common import across_parts, in_own_blocks, part_sizes, to_partners
 from retailmart.llm.components import connected_components
 
 
@@ -49,51 +47,6 @@ def test_small_blocks(spark, small_blocks, which):
     assert len(got) == docs.count()
 
 
-def dealt_pairs(df):
-    """Pairs of members that a task compares: of different blocks, or of one block paired with itself."""
-    seen, sent = set(), 0
-    by = {}
-    for r in df.collect():
-        by.setdefault((r.g, r.i, r.j), []).append((r.id, r.block))
-        sent += 1
-    for (_, i, j), members in by.items():
-        seen |= {(min(a, b), max(a, b)) for a, x in members for b, y in members if a != b and (i == j or x != y)}
-    return seen, sent
-
-
-def test_across_parts(spark):
-    rng = np.random.default_rng(1)
-    rows = [(0, i, 7) for i in range(400)] + [(0, 400 + i, 400 + i) for i in range(30)] + [(0, 500 + i, 8) for i in range(60)]
-    rows += [(1, 1000 + i, 9) for i in range(100)] + [(2, 2000 + i, 2000 + int(rng.integers(0, 20))) for i in range(50)] + [(3, 3000, 3000), (3, 3001, 3001)]
-    df = spark.createDataFrame(rows, "g long, id long, part long")
-    sizes = part_sizes(df, ["g"], "part", F.lit(1 / 16))
-    out = to_partners(across_parts(df, sizes, ["g"], "part", "id"), ["g"], "id")
-    seen, sent = dealt_pairs(out)
-    for k in {r[0] for r in rows}:
-        members = [(i, p) for g, i, p in rows if g == k]
-        need = {(min(a, b), max(a, b)) for a, p in members for b, q in members if p != q}
-        assert need <= seen
-    assert not any(a < 400 and b < 400 for a, b in seen)  # a large part is not compared with itself
-    assert not any(1000 <= a < 1100 for a, _ in seen)  # a group of one part is not sent at all
-    assert sent < 490 * 12
-
-
-def test_own_blocks(spark):
-    df = spark.range(1000).select(F.lit(0).alias("g"), "id")
-    rows = in_own_blocks(df, ["g"], F.lit(10), "id").collect()
-    assert len(rows) == 2000 and {r.i for r in rows} == set(range(20)) and all(r.i == r.j == r.block for r in rows)
-    assert in_own_blocks(df, ["g"], F.lit(1), "id").count() == 1000
-
-
-def test_large_group_is_compared_once(spark, small_blocks, monkeypatch):
-    """A group of near copies is joined inside its blocks; nothing of it is left for pairs of blocks."""
-    found = []
-    monkeypatch.setattr(minhash_dedup, "_apart", lambda *args, own=minhash_dedup._apart: found.append(own(*args)) or found[-1])
-    docs = edge_docs(spark, [(i, " ".join(f"w{j}" if j != i % 120 else f"x{i}" for j in range(120))) for i in range(400)])
-    assert {r.component_id for r in minhash_dedup.near_duplicates(docs, 3, 85).collect()} == {0}
-    assert found == [None, None]
-
-
 @pytest.mark.parametrize("edges", [[], [(1, 1)], [(2, 1), (3, 2), (4, 3), (9, 8), (8, 9), (20, 1)], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 50)] + [(70, i) for i in range(40, 60)],
                                    [(int(a), int(b)) for a, b in np.random.default_rng(6).integers(0, 300, (200, 2))]])
 def test_components(spark, edges):
