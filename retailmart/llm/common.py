@@ -172,8 +172,8 @@ def run_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.r_[np.flatnonzero(change), table.num_rows]
 
 
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the links (a, b) among ``n`` elements, some that keep all that is connected connected.
+def joined(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the links (a, b) among ``n`` elements, some that keep all that is connected connected; and every element's smallest connected one.
 
     In each round every set but the smallest of those linked hooks onto one with a smaller
     root; fewer than ``n`` links are kept.
@@ -191,8 +191,32 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
         while not np.array_equal(up := parent[parent], parent):
             parent = up
     if not kept:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate([x for x, _ in kept]), np.concatenate([x for _, x in kept])
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), parent
+    return np.concatenate([x for x, _ in kept]), np.concatenate([x for _, x in kept]), parent
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The links that ``joined`` keeps."""
+    return joined(n, a, b)[:2]
+
+
+def beside_hub(hub: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links to keep of a piece dealt by ``to_hub``, and which members stay loose.
+
+    A member is settled if the piece connects it with the largest component that the hub
+    has by its own links.  All pieces of a group hold the same hub, so they agree on that
+    component and all settled members are connected; a link between two of them adds nothing.
+    """
+    n, inner = len(hub), hub[a] & hub[b]
+    ia, ib, root = joined(n, a[inner], b[inner])
+    if not hub.any():
+        return *forest(n, a, b), np.ones(n, bool)
+    main = int(np.argmax(np.bincount(root[hub])))
+    if hub.all():
+        return ia, ib, root != main
+    oa, ob = forest(n, a[~inner], b[~inner])
+    root = joined(n, np.r_[ia, oa], np.r_[ib, ob])[2]
+    return oa, ob, ~hub & (root != root[main])
 
 
 def in_blocks(rows: DataFrame, group: list[str], blocks: Column, member: str) -> DataFrame:
@@ -206,3 +230,29 @@ def in_blocks(rows: DataFrame, group: list[str], blocks: Column, member: str) ->
     dealt = rows.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
     dealt = dealt.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
     return dealt.repartition(shuffle_partitions(rows), *group, "i", "j").sortWithinPartitions(*group, "i", "j", member)
+
+
+def to_hub(rows: DataFrame, group: list[str], blocks: Column, member: str) -> DataFrame:
+    """Rows dealt to the blocks of their group, each beside the hub: columns ``block`` and ``i``.
+
+    A member belongs to one block by hash.  Block 0 is the hub and is sent to all blocks, so
+    a group is shuffled about twice, whatever its size, and no task holds more than two blocks.
+    """
+    own = F.pmod(F.xxhash64(member), blocks).cast("int")
+    pieces = F.when(F.col("block") == 0, F.sequence(F.lit(0), (blocks - 1).cast("int"))).otherwise(F.array("block"))
+    dealt = rows.withColumn("block", own).withColumn("i", F.explode(pieces))
+    return dealt.repartition(shuffle_partitions(rows), *group, "i").sortWithinPartitions(*group, "i", member)
+
+
+def loose_to_all(rows: DataFrame, group: list[str], blocks: Column, loose_blocks: Column, loose: Column, member: str) -> DataFrame:
+    """Rows dealt so that every loose member meets every member of its group: columns ``side``, ``i`` and ``j``.
+
+    All members (side 1) go to each block of loose ones, the loose ones (side 0) also to
+    each block of all; a loose member meets itself too.
+    """
+    own, own_loose = F.pmod(F.xxhash64(member), blocks).cast("int"), F.pmod(F.xxhash64(member), loose_blocks).cast("int")
+    spot = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
+    every = F.transform(F.sequence(F.lit(0), (loose_blocks - 1).cast("int")), lambda j: spot(own, j, 1))
+    more = F.transform(F.sequence(F.lit(0), (blocks - 1).cast("int")), lambda i: spot(i, own_loose, 0))
+    dealt = rows.withColumn("spot", F.explode(F.when(loose, F.concat(every, more)).otherwise(every))).select(*rows.columns, "spot.*")
+    return dealt.repartition(shuffle_partitions(rows), *group, "i", "j").sortWithinPartitions(*group, "i", "j", "side", member)

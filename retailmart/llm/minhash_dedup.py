@@ -12,8 +12,11 @@
    the shared shingles.  Links are again reduced to a forest, whose components are the
    result.  So no task emits more links than it has members, whatever the size of a group.
 
-A bucket or component larger than a block is split into blocks, and every pair of blocks
-is a piece of work of its own; nothing is capped.  A link is missed only if no band key is
+A bucket or component larger than a block is split into blocks.  Each block is compared
+with itself and one of them, the hub, which settles the members that this connects with the
+hub's largest component: they are in one component, so links between them add nothing.
+Only the others, the loose ones, are compared with all members, in pairs of blocks; nothing
+is capped.  A link is missed only if no band key is
 shared (below one in a million at the limit, less above it) or by the sketch limit (about
 3 in a million there).
 
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, Rolling, forest, in_blocks, mix, run_starts, text_chunks, whole_runs, word_spans, written
+from .common import LOWER, Rolling, beside_hub, forest, loose_to_all, mix, run_starts, text_chunks, to_hub, whole_runs, word_spans, written
 from .components import connected_components
 
 SAMPLES = 125
@@ -39,7 +42,8 @@ SKETCH_BITS = 256
 BUCKET_BLOCK = 1024
 SET_BLOCK = 256
 SET_BLOCK_SHINGLES = 200_000
-EDGE = "a long, b long"
+# links; rows without b are loose members a of a group, with its blocks and their own share of a block
+FOUND = "a long, b long, group long, blocks int, load double"
 POPCOUNT = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
 
 
@@ -118,42 +122,83 @@ def _ones(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return POPCOUNT[x ^ y].sum(-1, dtype=np.int64)
 
 
+def _found(a, b, group=None, blocks=None, load=None) -> pa.RecordBatch:
+    """Rows of ``FOUND``: links, or (without ``b``) loose members of a group."""
+    none = lambda kind: pa.nulls(len(a), kind)
+    last = [none(k) if x is None else pa.array(x, k) for x, k in zip((group, blocks, load), (pa.int64(), pa.int32(), pa.float64()))]
+    return pa.record_batch([pa.array(a, pa.int64()), none(pa.int64()) if b is None else pa.array(b, pa.int64()), *last], names=["a", "b", "group", "blocks", "load"])
+
+
+def _sketches(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(table.num_rows, -1)
+
+
+def sketch_links(x: np.ndarray, y: np.ndarray, limit: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (place in x, place in y) of sketches that differ in at most ``limit`` bits; each once if x and y are the ``same``."""
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in range(len(x)):
+        lo = i + 1 if same else 0
+        j = lo + np.flatnonzero(_ones(x[i], y[lo:]) <= limit)
+        a.append(np.full(len(j), i))
+        b.append(j)
+    return np.concatenate(a), np.concatenate(b)
+
+
 def alike_by_sketch(limit: int):
-    """Forests of the pairs of each bucket's blocks whose sketches differ in at most ``limit`` bits."""
+    """Forests of the pairs whose sketches differ in at most ``limit`` bits, of each piece of a bucket; loose members of buckets of several blocks."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_runs(batches, ["key", "i", "j"]):
-            ids, block = table.column("rep").to_numpy(), table.column("block").to_numpy()
-            cross = table.column("i").to_numpy() != table.column("j").to_numpy()
-            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(len(ids), -1)
-            starts = run_starts(table, ["key", "i", "j"])
+        for table in whole_runs(batches, ["key", "i"]):
+            ids, block, blocks, key = (table.column(c).to_numpy() for c in ("rep", "block", "blocks", "key"))
+            sketch = _sketches(table)
+            starts = run_starts(table, ["key", "i"])
             size = np.diff(starts)
             end = np.repeat(starts[1:], size)
-            small = np.repeat(size <= 32, size)
+            small = np.repeat((size <= 32) & (blocks[starts[:-1]] == 1), size)
             a, b = [], []
             for d in range(1, int(min(size.max(initial=0), 32))):  # small buckets, all at once
                 x = np.flatnonzero(small & (np.arange(len(ids)) + d < end))
-                x = x[(~cross[x] | (block[x] != block[x + d]))]
                 x = x[_ones(sketch[x], sketch[x + d]) <= limit]
                 a.append(x)
                 b.append(x + d)
-            for s, n in zip(starts[:-1][size > 32], size[size > 32]):
-                for x in range(s, s + n - 1):
-                    y = np.arange(x + 1, s + n)
-                    y = y[_ones(sketch[x], sketch[y]) <= limit]
-                    y = y[block[y] != block[x]] if cross[x] else y
-                    a.append(np.full(len(y), x))
-                    b.append(y)
+            for s, e in zip(starts[:-1], starts[1:]):
+                if small[s]:
+                    continue
+                x, y = sketch_links(sketch[s:e], sketch[s:e], limit, same=True)
+                if blocks[s] == 1:
+                    x, y = forest(e - s, x, y)
+                else:
+                    x, y, loose = beside_hub(block[s:e] == 0, x, y)
+                    if loose.any():
+                        yield _found(ids[s:e][loose], None, key[s:e][loose], blocks[s:e][loose], np.full(loose.sum(), 1 / BUCKET_BLOCK))
+                a.append(x + s)
+                b.append(y + s)
             if a:
                 a, b = forest(len(ids), np.concatenate(a), np.concatenate(b))
                 if len(a):
-                    yield pa.record_batch([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
+                    yield _found(ids[a], ids[b])
 
     return work
 
 
-def full_sets(words: int):
-    """(component, doc_id, size, shingles) of texts; the set as bytes of sorted 64-bit hashes."""
+def loose_by_sketch(limit: int):
+    """The same of loose members (side 0) and all (side 1)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_runs(batches, ["key", "i", "j"]):
+            ids, side, sketch = table.column("rep").to_numpy(), table.column("side").to_numpy(), _sketches(table)
+            starts = run_starts(table, ["key", "i", "j"])
+            for s, e in zip(starts[:-1], starts[1:]):
+                mid = s + int(np.searchsorted(side[s:e], 1))
+                x, y = sketch_links(sketch[s:mid], sketch[mid:e], limit, same=False)
+                x, y = forest(e - s, x, y + mid - s)
+                yield _found(ids[s + x], ids[s + y])
+
+    return work
+
+
+def full_sets(words: int, keep: list[str]):
+    """The columns ``keep`` of texts and their shingles, the set as bytes of sorted 64-bit hashes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,13 +206,13 @@ def full_sets(words: int):
                 row, value = shingles(data, off, words)
                 at = np.searchsorted(row, np.arange(hi - lo + 1))
                 sets = [value[x:y].tobytes() for x, y in zip(at[:-1], at[1:])]
-                yield pa.record_batch([*(batch.column(c).slice(lo, hi - lo) for c in ("component", "doc_id", "blocks")), pa.array(sets, pa.binary())], names=["component", "doc_id", "blocks", "shingles"])
+                yield pa.record_batch([*(batch.column(c).slice(lo, hi - lo) for c in keep), pa.array(sets, pa.binary())], names=[*keep, "shingles"])
 
     return work
 
 
-def linked(sets: list[np.ndarray], block: np.ndarray, cross: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of sets at or above the similarity; of different blocks only if ``cross``."""
+def linked(sets: list[np.ndarray], side: np.ndarray | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of sets at or above the similarity; of different sides only, if sides are given."""
     size = np.array([len(s) for s in sets], np.int64)
     value, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
     order = np.argsort(value, kind="stable")
@@ -185,34 +230,71 @@ def linked(sets: list[np.ndarray], block: np.ndarray, cross: bool, percent: int)
         has[owner[x:y], column[x:y] - lo] = 1
         common += (has @ has.T).astype(np.int64)
     ok = 100 * common >= percent * (size[:, None] + size[None, :] - common)
-    if cross:
-        ok &= block[:, None] != block[None, :]
+    if side is not None:
+        ok &= side[:, None] != side[None, :]
     return np.nonzero(np.triu(ok, 1))
 
 
+def _sets(table: pa.Table) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+
+
 def confirmed(percent: int):
-    """Forests of the links in each pair of a component's blocks."""
+    """Forests of the links in each piece of a component; loose members of components of several blocks."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = ["component", "i", "j"]
+        keys = ["component", "i"]
         for table in whole_runs(batches, keys):
-            ids, block = table.column("doc_id").to_numpy(), table.column("block").to_numpy()
-            cross = table.column("i").to_numpy() != table.column("j").to_numpy()
-            sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+            ids, block, blocks, component = (table.column(c).to_numpy() for c in ("doc_id", "block", "blocks", "component"))
+            sets = _sets(table)
             starts = run_starts(table, keys)
-            a, b = [], []
             for s, e in zip(starts[:-1], starts[1:]):
-                if e - s > 1:
-                    x, y = linked(sets[s:e], block[s:e], bool(cross[s]), percent)
+                x, y = linked(sets[s:e], None, percent)
+                if blocks[s] == 1:
                     x, y = forest(e - s, x, y)
-                    a.append(ids[x + s])
-                    b.append(ids[y + s])
-            if a:
-                yield pa.record_batch([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                else:
+                    x, y, loose = beside_hub(block[s:e] == 0, x, y)
+                    if loose.any():
+                        load = [1 / SET_BLOCK + len(sets[s + i]) / SET_BLOCK_SHINGLES for i in np.flatnonzero(loose)]
+                        yield _found(ids[s:e][loose], None, component[s:e][loose], blocks[s:e][loose], load)
+                if len(x):
+                    yield _found(ids[x + s], ids[y + s])
 
     return work
 
 
+def loose_confirmed(percent: int):
+    """The same of loose members (side 0) and all (side 1)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = ["component", "i", "j"]
+        for table in whole_runs(batches, keys):
+            ids, side, sets = table.column("doc_id").to_numpy(), table.column("side").to_numpy(), _sets(table)
+            starts = run_starts(table, keys)
+            for s, e in zip(starts[:-1], starts[1:]):
+                x, y = forest(e - s, *linked(sets[s:e], side[s:e], percent))
+                yield _found(ids[x + s], ids[y + s])
+
+    return work
+
+
+def links_of_groups(members: DataFrame, group: str, member: str, load, compare, compare_loose, name: str) -> DataFrame:
+    """Links (a, b) that connect what is linked within the groups of ``members`` (group, member, blocks).
+
+    ``load`` adds what is compared.  Blocks are compared with themselves and the hub; members
+    that this does not connect with the hub's largest component are compared with all.
+    """
+    dealt = to_hub(load(members), [group], F.col("blocks"), member)
+    first = written(dealt.mapInArrow(compare, FOUND), name)
+    links, loose = first.where("b IS NOT NULL").select("a", "b"), first.where("b IS NULL")
+    if loose.isEmpty():
+        return links
+    held = loose.groupBy("group").agg(F.ceil(F.sum("load")).cast("int").alias("loose_blocks"))
+    marked = members.join(held.withColumnRenamed("group", group), group).join(loose.select(F.col("group").alias(group), F.col("a").alias(member), F.lit(True).alias("loose")).distinct(), [group, member], "left")
+    again = loose_to_all(load(marked), [group], F.col("blocks"), F.col("loose_blocks"), F.coalesce("loose", F.lit(False)), member)
+    return links.unionByName(again.mapInArrow(compare_loose, FOUND).select("a", "b"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
     marks = written(signatures(docs, words, percent), "minhash")
@@ -220,18 +302,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                       .agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "sketch"), "doc_id").alias("s"))
                       .select("set_a", "set_b", "n_shingles", "rep", "s.bands", "s.sketch"), "minhash-classes")
     keys = classes.select("rep", F.explode("bands").alias("key"))
-    buckets = keys.groupBy("key").count().where("count > 1")
-    members = keys.join(buckets, "key").join(classes.select("rep", "sketch"), "rep")
-    blocks = F.ceil(F.col("count") / BUCKET_BLOCK)
-    alike = in_blocks(members, ["key"], blocks, "rep").select("key", "i", "j", "block", "rep", "sketch").mapInArrow(alike_by_sketch(sketch_limit(percent)), EDGE)
+    buckets = keys.groupBy("key").count().where("count > 1").select("key", F.ceil(F.col("count") / BUCKET_BLOCK).cast("int").alias("blocks"))
+    limit = sketch_limit(percent)
+    alike = links_of_groups(keys.join(buckets, "key"), "key", "rep", lambda m: m.join(classes.select("rep", "sketch"), "rep"), alike_by_sketch(limit), loose_by_sketch(limit), "minhash-alike")
     close = connected_components(alike, "minhash-close").withColumnRenamed("id", "doc_id")
     held = close.join(classes.select(F.col("rep").alias("doc_id"), "n_shingles"), "doc_id").groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
     need = F.greatest(F.ceil(F.col("n") / SET_BLOCK), F.ceil(F.col("total") / SET_BLOCK_SHINGLES)).cast("int").alias("blocks")
     close = written(close.join(held.select("component", need), "component"), "minhash-close")
-    texts = docs.select("doc_id", "text").join(close, "doc_id").select("component", "doc_id", "blocks", "text")
-    sets = texts.mapInArrow(full_sets(words), "component long, doc_id long, blocks int, shingles binary")
-    dealt = in_blocks(sets, ["component"], F.col("blocks"), "doc_id").select("component", "i", "j", "block", "doc_id", "shingles")
-    found = connected_components(dealt.mapInArrow(confirmed(percent), EDGE), "minhash-links")
+
+    def with_sets(members: DataFrame) -> DataFrame:
+        schema = ", ".join(f"{c} {t}" for c, t in members.dtypes)
+        texts = docs.select("doc_id", "text").join(members, "doc_id").select(*members.columns, "text")
+        return texts.mapInArrow(full_sets(words, members.columns), f"{schema}, shingles binary")
+
+    links = links_of_groups(close, "component", "doc_id", with_sets, confirmed(percent), loose_confirmed(percent), "minhash-confirmed")
+    found = connected_components(links, "minhash-links")
     groups = written(classes.select("set_a", "set_b", "n_shingles", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left")
                      .select("set_a", "set_b", "n_shingles", F.coalesce("component", "rep").alias("component")), "minhash-groups")
     named = marks.select("doc_id", "n_shingles", "set_a", "set_b").join(groups, ["set_a", "set_b", "n_shingles"], "left")

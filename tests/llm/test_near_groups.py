@@ -5,6 +5,7 @@ import pytest
 from test_llm import edge_docs, near, small, texts
 
 from retailmart.llm import minhash_dedup
+from retailmart.llm.common import beside_hub, joined
 from retailmart.llm.components import connected_components
 
 
@@ -47,6 +48,37 @@ def test_small_blocks(spark, small_blocks, which):
     assert len(got) == docs.count()
 
 
+def test_loose_members_meet_all(spark, small_blocks, monkeypatch):
+    """The copies of the second group reach the first only through the pieces of loose members."""
+    dealt, plain = [], minhash_dedup.loose_to_all
+    monkeypatch.setattr(minhash_dedup, "loose_to_all", lambda rows, *a: dealt.append(rows.columns[0]) or plain(rows, *a))
+    docs = edge_docs(spark, copies(60, 9))
+    got = minhash_dedup.near_duplicates(docs, 3, 85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == near([x for x in texts(docs) if x[0] is not None], 3, 85)
+    assert "component" in dealt
+
+
+@pytest.mark.parametrize("links", [0, 30, 60, 120, 400])
+def test_hub_and_loose(links):
+    """Links kept of the pieces and of loose members against all connect what the links connect."""
+    rng = np.random.default_rng(links)
+    for _ in range(20):
+        n = 80
+        block = rng.integers(0, 6, n)
+        a, b = np.sort(rng.integers(0, n, (2, links)), axis=0)
+        a, b = a[a != b], b[a != b]
+        kept, loose = [], np.zeros(n, bool)
+        for i in range(6):
+            at = np.flatnonzero((block == 0) | (block == i))
+            inside = np.isin(a, at) & np.isin(b, at)
+            x, y, apart = beside_hub(block[at] == 0, np.searchsorted(at, a[inside]), np.searchsorted(at, b[inside]))
+            kept.append((at[x], at[y]))
+            loose[at] |= apart
+        more = loose[a] | loose[b]
+        x, y = (np.concatenate(z) for z in zip(*kept, (a[more], b[more])))
+        assert np.array_equal(joined(n, x, y)[2], joined(n, a, b)[2])
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 1)], [(2, 1), (3, 2), (4, 3), (9, 8), (8, 9), (20, 1)], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 50)] + [(70, i) for i in range(40, 60)],
                                    [(int(a), int(b)) for a, b in np.random.default_rng(6).integers(0, 300, (200, 2))]])
 def test_components(spark, edges):
