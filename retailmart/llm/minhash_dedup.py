@@ -197,8 +197,9 @@ def loose_by_sketch(limit: int):
     return work
 
 
-def full_sets(words: int, keep: list[str]):
-    """The columns ``keep`` of texts and their shingles, the set as bytes of sorted 64-bit hashes."""
+def full_sets(words: int):
+    """(component, doc_id, blocks, shingles) of texts; the set as bytes of sorted 64-bit hashes."""
+    keep = ["component", "doc_id", "blocks"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,21 +279,21 @@ def loose_confirmed(percent: int):
     return work
 
 
-def links_of_groups(members: DataFrame, group: str, member: str, load, compare, compare_loose, name: str) -> DataFrame:
-    """Links (a, b) that connect what is linked within the groups of ``members`` (group, member, blocks).
+def links_of_groups(rows: DataFrame, group: str, member: str, compare, compare_loose, name: str) -> DataFrame:
+    """Links (a, b) that connect what is linked within the groups of ``rows`` (group, member, blocks and what is compared).
 
-    ``load`` adds what is compared.  Blocks are compared with themselves and the hub; members
-    that this does not connect with the hub's largest component are compared with all.
+    Blocks are compared with themselves and the hub; members that this does not connect
+    with the hub's largest component are compared with all.
     """
-    dealt = to_hub(load(members), [group], F.col("blocks"), member)
-    first = written(dealt.mapInArrow(compare, FOUND), name)
+    first = written(to_hub(rows, [group], F.col("blocks"), member).mapInArrow(compare, FOUND), name)
     links, loose = first.where("b IS NOT NULL").select("a", "b"), first.where("b IS NULL")
     if loose.isEmpty():
         return links
-    held = loose.groupBy("group").agg(F.ceil(F.sum("load")).cast("int").alias("loose_blocks"))
-    marked = members.join(held.withColumnRenamed("group", group), group).join(loose.select(F.col("group").alias(group), F.col("a").alias(member), F.lit(True).alias("loose")).distinct(), [group, member], "left")
-    again = loose_to_all(load(marked), [group], F.col("blocks"), F.col("loose_blocks"), F.coalesce("loose", F.lit(False)), member)
-    return links.unionByName(again.mapInArrow(compare_loose, FOUND).select("a", "b"))
+    held = loose.groupBy(F.col("group").alias(group)).agg(F.ceil(F.sum("load")).cast("int").alias("loose_blocks"))
+    named = loose.select(F.col("group").alias(group), F.col("a").alias(member), F.lit(True).alias("loose")).distinct()
+    marked = rows.join(held, group).join(named, [group, member], "left")
+    dealt = loose_to_all(marked, [group], F.col("blocks"), F.col("loose_blocks"), F.coalesce("loose", F.lit(False)), member)
+    return links.unionByName(dealt.mapInArrow(compare_loose, FOUND).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -304,18 +305,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     keys = classes.select("rep", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").count().where("count > 1").select("key", F.ceil(F.col("count") / BUCKET_BLOCK).cast("int").alias("blocks"))
     limit = sketch_limit(percent)
-    alike = links_of_groups(keys.join(buckets, "key"), "key", "rep", lambda m: m.join(classes.select("rep", "sketch"), "rep"), alike_by_sketch(limit), loose_by_sketch(limit), "minhash-alike")
+    alike = links_of_groups(keys.join(buckets, "key").join(classes.select("rep", "sketch"), "rep"), "key", "rep", alike_by_sketch(limit), loose_by_sketch(limit), "minhash-alike")
     close = connected_components(alike, "minhash-close").withColumnRenamed("id", "doc_id")
     held = close.join(classes.select(F.col("rep").alias("doc_id"), "n_shingles"), "doc_id").groupBy("component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
     need = F.greatest(F.ceil(F.col("n") / SET_BLOCK), F.ceil(F.col("total") / SET_BLOCK_SHINGLES)).cast("int").alias("blocks")
     close = written(close.join(held.select("component", need), "component"), "minhash-close")
-
-    def with_sets(members: DataFrame) -> DataFrame:
-        schema = ", ".join(f"{c} {t}" for c, t in members.dtypes)
-        texts = docs.select("doc_id", "text").join(members, "doc_id").select(*members.columns, "text")
-        return texts.mapInArrow(full_sets(words, members.columns), f"{schema}, shingles binary")
-
-    links = links_of_groups(close, "component", "doc_id", with_sets, confirmed(percent), loose_confirmed(percent), "minhash-confirmed")
+    texts = docs.select("doc_id", "text").join(close, "doc_id").select("component", "doc_id", "blocks", "text")
+    sets = written(texts.mapInArrow(full_sets(words), "component long, doc_id long, blocks int, shingles binary"), "minhash-sets")
+    links = links_of_groups(sets, "component", "doc_id", confirmed(percent), loose_confirmed(percent), "minhash-confirmed")
     found = connected_components(links, "minhash-links")
     groups = written(classes.select("set_a", "set_b", "n_shingles", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left")
                      .select("set_a", "set_b", "n_shingles", F.coalesce("component", "rep").alias("component")), "minhash-groups")
