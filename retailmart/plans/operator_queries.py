@@ -490,7 +490,10 @@ def agg_row_count(spark, sf_dir):
 # Windows ----------------------------------------------------------------------------------------
 def win_ntile(spark, sf_dir, k: int = 4):
     """NTILE(4) per customer over (order count, id), cut into order-preserving buckets."""
-    counts = A.customer_order_counts(_star(spark, sf_dir))
+    # written once: drawing split points, counting the buckets and numbering each read it
+    path = scratch_path(spark, "customer_order_counts")
+    A.customer_order_counts(_star(spark, sf_dir)).write.parquet(path)
+    counts = spark.read.parquet(path)
     return K.ntile_global(counts, ["total_orders", "customer_unique_id"], k, "order_bucket")
 
 

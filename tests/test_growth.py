@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from retailmart.operators import star as S
 from retailmart.operators.keys import dense_surrogate_key
+from retailmart.plans import operator_queries as O
 from retailmart.plans.warehouse import star_from_testdata
 from retailmart.sources import fixture
 
@@ -34,3 +35,8 @@ def test_wide_lines_are_shuffled_by_order_alone(spark):
         assert re.search(r"SortMergeJoin \[(\w+)#", _plan(fact)).group(1) == "order_id"
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_ntile_reads_written_counts(spark):
+    files = O.win_ntile(spark, SF_SMALL).inputFiles()
+    assert files and all("/customer_order_counts-" in f for f in files)
