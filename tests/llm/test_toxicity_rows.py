@@ -31,3 +31,12 @@ def test_training_reruns_agree(spark):
     labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
     a, b = (toxicity.fit(docs, labels) for _ in range(2))
     assert a.thresholds == b.thresholds and (a.embedding == b.embedding).all() and a.bias == b.bias
+
+
+def test_unlabelled_texts_stay_out_of_the_join(spark):
+    docs = spark.range(4000).select(F.when(F.col("id") < 3990, F.col("id") % 3900).alias("doc_id"), F.col("id").cast("string").alias("text"))
+    known = spark.range(0, 3900, 13).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
+    got = toxicity.with_labels(docs, known)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in docs.join(known, "doc_id").collect())
+    assert "ArrowEvalPython" in got._jdf.queryExecution().executedPlan().toString()
+    assert toxicity.with_labels(docs, known.where("false")).count() == 0
