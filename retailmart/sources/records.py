@@ -37,7 +37,8 @@ def _quotes(line: Column) -> Column:
 
 
 def _ranges(lines: DataFrame) -> DataFrame:
-    """One row a range: whether it begins inside quotes, and the last record begun before it."""
+    """One row a range: whether it begins inside quotes (null in a file whose quotes do not pair
+    up), and the last record begun before it."""
     first = F.struct("block", "place")
     per = lines.groupBy(*RANGE).agg(
         F.sum("quotes").alias("quotes"), F.count_if(F.col("before") % 2 == 0).alias("outside"), F.count_if(F.col("before") % 2 == 1).alias("inside"),
@@ -47,8 +48,7 @@ def _ranges(lines: DataFrame) -> DataFrame:
     whole = Window.partitionBy("file")
     paired = F.sum("quotes").over(whole) % 2 == 0
     carried = F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2
-    broken = F.raise_error(F.concat(F.lit("quotes do not pair up in "), F.col("file")))
-    per = per.withColumn("carried", F.when(paired, carried).otherwise(broken.cast("long")))
+    per = per.withColumn("carried", F.when(paired, carried))
     per = per.withColumn("begun", F.when(F.col("carried") == 0, F.col("outside")).otherwise(F.col("inside")))
     last = F.last(F.when(F.col("begun") > 0, F.struct("block", "begun")), ignorenulls=True).over(earlier)
     return per.select(*RANGE, "carried", last.alias("open"), F.first("crlf").over(order).alias("crlf"))
@@ -67,12 +67,15 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     lines = lines.withColumn("begins", begins).withColumn("number", F.sum(F.col("begins").cast("long")).over(order))
     line = F.when(F.col("crlf"), F.regexp_replace("value", r"\r$", "")).otherwise(F.col("value"))
     # a line before the first record of its range belongs to the last one begun earlier in the file
-    lines = lines.select("file", line.alias("line"), F.col("block").alias("at"), "place", "begins", "quotes",
+    lines = lines.select("file", line.alias("line"), F.col("block").alias("at"), "place", "begins", "quotes", "carried",
                          F.when(F.col("number") > 0, F.col("block")).otherwise(F.col("open.block")).alias("block"),
                          F.when(F.col("number") > 0, F.col("number")).otherwise(F.col("open.begun")).alias("number"))
     alone = F.col("begins") & (F.col("quotes") % 2 == 0)
     single = lines.where(alone).select("file", "block", "number", F.col("line").alias("record"))
-    parts = lines.where(~alone).groupBy("file", "block", "number").agg(F.sort_array(F.collect_list(F.struct("at", "place", "line"))).alias("parts"))
+    # raised in this branch alone: of a file without pairs the other one has no rows
+    broken = F.raise_error(F.concat(F.lit("quotes do not pair up in "), F.col("file"))).cast("long")
+    rest = lines.where(F.col("carried").isNull() | ~alone).withColumn("number", F.when(F.col("carried").isNull(), broken).otherwise(F.col("number")))
+    parts = rest.groupBy("file", "block", "number").agg(F.sort_array(F.collect_list(F.struct("at", "place", "line"))).alias("parts"))
     several = parts.select("file", "block", "number", F.array_join(F.col("parts.line"), "\n").alias("record"))
     return single.unionByName(several).where("record <> ''")
 
